@@ -31,7 +31,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _pearson(x: Column, y: Column) -> Column:
-    return F.nanvl(F.corr(x, y), F.lit(None).cast("double"))
+    # The built-in correlation divides by zero on a constant column.
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return F.covar_pop(x, y) / F.when(spread > 0, spread)
 
 
 def _stack(df: DataFrame, label: str, measures: Sequence[str]) -> DataFrame:

@@ -30,18 +30,31 @@ def _ratio(num: Column, den: Column) -> Column:
     return num / F.when(den != 0, den)
 
 
-def roc_auc(df: DataFrame, score: str, label: str, digits: int = 8) -> DataFrame:
-    """One row: area under the ROC curve, tied pairs counting one half; NULL for one class."""
+def _roc_auc(digits: int) -> Column:
     pos, neg = F.max("all_pos").cast("double"), F.max("all_neg").cast("double")
     lost = F.sum(F.col("pos").cast("double") * (F.col("cum_neg") - F.col("neg") / 2))
-    return _ranked(df, score, label).agg(F.round(1 - _ratio(lost, pos * neg), digits).alias("roc_auc"))
+    return F.round(1 - _ratio(lost, pos * neg), digits).alias("roc_auc")
 
 
-def avg_precision(df: DataFrame, score: str, label: str, digits: int = 8) -> DataFrame:
-    """One row: sum of precision times the step in recall (no trapezoids); 0 without positives."""
+def _avg_precision(digits: int) -> Column:
     at = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     area = _ratio(F.sum(F.col("pos") * at), F.max("all_pos"))
-    return _ranked(df, score, label).agg(F.round(F.coalesce(area, F.lit(0.0)), digits).alias("avg_precision"))
+    return F.round(F.coalesce(area, F.lit(0.0)), digits).alias("avg_precision")
+
+
+def roc_auc(df: DataFrame, score: str, label: str, digits: int = 8) -> DataFrame:
+    """One row: area under the ROC curve, tied pairs counting one half; NULL for one class."""
+    return _ranked(df, score, label).agg(_roc_auc(digits))
+
+
+def avg_precision(df: DataFrame, score: str, label: str, digits: int = 8) -> DataFrame:
+    """One row: sum of precision times the step in recall (no trapezoids); 0 without positives."""
+    return _ranked(df, score, label).agg(_avg_precision(digits))
+
+
+def ranking_quality(df: DataFrame, score: str, label: str, digits: int = 8) -> DataFrame:
+    """Both of the above from one scan."""
+    return _ranked(df, score, label).agg(_roc_auc(digits), _avg_precision(digits))
 
 
 def pr_curve(df: DataFrame, score: str, label: str, digits: int = 8) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdfast.functions.exact import rate_pct
 from holdfast.functions.rules import HIGH_CHARGE, MONTHLY
@@ -66,7 +67,7 @@ def chi2_tests(df: DataFrame, tests: Mapping[str, tuple[Column, Column]], label:
     ).orderBy("test")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())  # a type object: this runs before any session exists
 def _chi2_p_value(chi2: pd.Series) -> pd.Series:
     return chi2.map(lambda x: math.erfc(math.sqrt(x / 2)), na_action="ignore")
 

@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.functions import clean, rules
-from holdfast.operators import campaign, explore, metrics, sampling, segments, significance, survival
+from holdfast.operators import (
+    campaign, explore, metrics, sampling, scoring, segments, significance, survival, training,
+)
+from holdfast.operators.attribution import Explainer
 from holdfast.plans.presets import named_query, query_names
 from holdfast.sources import exports, tables
-from holdfast.sources.accounts import ACCOUNT_ROLES, accounts, labelled_documents
+from holdfast.sources.accounts import ACCOUNT_ROLES, NOT_FEATURES, accounts, labelled_documents
 from holdfast.sources.storage import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,8 +75,9 @@ def _on_features(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(features(spark, sf_dir))
 
 
-def _derived(column, name: str) -> Query:
-    return _on_customers(lambda df: df.select("account_id", column.alias(name)))
+def _derived(rule: Callable[..., Column], name: str, *inputs: str) -> Query:
+    """One rule applied to the named columns of every account."""
+    return _on_customers(lambda df: df.select("account_id", rule(*map(F.col, inputs)).alias(name)))
 
 
 # --- sources and sinks ---------------------------------------------------------------
@@ -160,17 +164,16 @@ def _lenient(df: DataFrame) -> DataFrame:
 
 
 def _columns() -> dict[str, Query]:
-    text, score = F.col("total_charges_text"), F.col("score")
     return {
-        "clean_numeric": _derived(clean.to_number_or_zero(text), "total"),
-        "clean_numeric_keep_null": _derived(clean.to_number(text), "total"),
-        "label_strict": _derived(clean.label_strict(F.col("churn_text")), "label"),
+        "clean_numeric": _derived(clean.to_number_or_zero, "total", "total_charges_text"),
+        "clean_numeric_keep_null": _derived(clean.to_number, "total", "total_charges_text"),
+        "label_strict": _derived(clean.label_strict, "label", "churn_text"),
         "label_lenient": _on_customers(_lenient),
-        "tenure_bucket": _derived(rules.tenure_bucket(F.col("tenure")), "tenure_bucket"),
-        "charge_tier": _derived(rules.charge_tier(F.col("monthly_charges")), "charge_tier"),
-        "risk_flag": _derived(rules.risk_flag(F.col("contract"), F.col("monthly_charges")), "risk_flag"),
-        "risk_level": _derived(rules.risk_level(score), "risk_level"),
-        "decision_flag": _derived(rules.decision_flag(score), "flag"),
+        "tenure_bucket": _derived(rules.tenure_bucket, "tenure_bucket", "tenure"),
+        "charge_tier": _derived(rules.charge_tier, "charge_tier", "monthly_charges"),
+        "risk_flag": _derived(rules.risk_flag, "risk_flag", "contract", "monthly_charges"),
+        "risk_level": _derived(rules.risk_level, "risk_level", "score"),
+        "decision_flag": _derived(rules.decision_flag, "flag", "score"),
         "member_filter": _on_customers(
             lambda df: tables.member_filter(df, "contract", ["Month-to-month", "Two year"])
             .groupBy("contract").agg(F.count(F.lit(1)).alias("n"))),
@@ -277,5 +280,91 @@ def _scores() -> dict[str, Query]:
     }
 
 
+# --- model ---------------------------------------------------------------------------
+
+# The registered checks grow few trees; ``training.train`` defaults to the full model.
+CHECK_TREES = 10
+_fitted: dict[tuple[str, str], training.Trained] = {}
+
+
+def fitted(spark: SparkSession, sf_dir: str) -> training.Trained:
+    """The model of a data folder, trained once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _fitted:
+        _fitted[key] = training.train(
+            customers(spark, sf_dir), ROLES, drop=NOT_FEATURES, maxIter=CHECK_TREES)
+    return _fitted[key]
+
+
+def _frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training.model_frame(customers(spark, sf_dir), ROLES, NOT_FEATURES)
+
+
+def _metric_rows(spark: SparkSession, values: dict[str, float]) -> DataFrame:
+    return spark.createDataFrame([(k, float(v)) for k, v in values.items()], "metric string, value double")
+
+
+def _tune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = customers(spark, sf_dir)
+    few = {**training.SEARCH_SPACE, "maxIter": [2, 3, 4]}
+    tuned = training.tune(df, ROLES, NOT_FEATURES, n_iter=2, folds=3, space=few)
+    return training.search_report(df, tuned)
+
+
+def _model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the saved and reloaded model against those of the original."""
+    path = fresh_path(spark, "model")
+    model = fitted(spark, sf_dir).model
+    training.save(model, path)
+    df = _frame(spark, sf_dir)
+    once = training.probabilities(df, model, "before").select("account_id", "before")
+    again = training.probabilities(df, training.load(path), "after").select("account_id", "after")
+    return once.join(again, "account_id", "full").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(~F.col("before").eqNullSafe(F.col("after"))).alias("mismatches"))
+
+
+def _explained(build: Callable[[Explainer, DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(Explainer.of(spark, fitted(spark, sf_dir).model), _frame(spark, sf_dir))
+    return run
+
+
+def _shap_points(ex: Explainer, df: DataFrame) -> DataFrame:
+    top = [r["feature"] for r in ex.global_drivers(df, 20).collect()]  # twenty rows
+    return ex.points(df, "account_id", top)
+
+
+def _driver_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ex = Explainer.of(spark, fitted(spark, sf_dir).model)
+    path = fresh_path(spark, "drivers")
+    exports.export_drivers(ex.global_drivers(_frame(spark, sf_dir)), path)
+    return spark.read.schema("feature string, mean_abs string").option("sep", "\t").csv(path)
+
+
+def _model() -> dict[str, Query]:
+    return {
+        "train": lambda spark, sf_dir: _metric_rows(spark, fitted(spark, sf_dir).metrics),
+        "feature_names": lambda spark, sf_dir: training.feature_names(
+            customers(spark, sf_dir), fitted(spark, sf_dir).model),
+        "onehot": lambda spark, sf_dir: training.one_hot(
+            _frame(spark, sf_dir), training.PipelineModel(stages=fitted(spark, sf_dir).model.stages[:-1]),
+            "account_id"),
+        "score": lambda spark, sf_dir: _plain(scoring.score(
+            raw_customers(spark, sf_dir), fitted(spark, sf_dir).model, ROLES)),
+        "tune": _tune,
+        "cv_report": lambda spark, sf_dir: training.cross_validate(
+            customers(spark, sf_dir), ROLES, NOT_FEATURES, folds=3, maxIter=3),
+        "model_roundtrip": _model_roundtrip,
+        "shap_values": _explained(lambda ex, df: ex.values(df, "account_id")),
+        "shap_additivity": _explained(lambda ex, df: ex.additivity_gap(df, "account_id").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(F.abs("gap") > 1e-9).alias("mismatches"))),
+        "global_drivers": _explained(lambda ex, df: ex.global_drivers(df, 15)),
+        "customer_drivers": _explained(lambda ex, df: ex.customer_drivers(df, "account_id")),
+        "shap_points": _explained(_shap_points),
+        "driver_export": _driver_export,
+    }
+
+
 def queries() -> dict[str, Query]:
-    return {**_sources(), **_columns(), **_segments(), **_statistics(), **_scores()}
+    return {**_sources(), **_columns(), **_segments(), **_statistics(), **_scores(), **_model()}

@@ -380,5 +380,25 @@ def _metrics() -> dict[str, str]:
     }
 
 
+def _model() -> dict[str, str]:
+    text = ("contract", "payment_method", "internet_service", "tech_support", "online_security", "gender",
+            "partner", "dependents", "tenure_bucket", "charge_tier", "risk_flag")
+    numeric = ("tenure", "monthly_charges", "senior", "total_charges")
+    levels = " UNION ALL ".join(
+        f"SELECT DISTINCT {i} AS place, '{c}' AS source, {c} AS level FROM features" for i, c in enumerate(text))
+    numbers = " UNION ALL ".join(
+        f"SELECT {i}, '{c}', NULL" for i, c in enumerate(numeric, len(text)))
+    all_equal = _on("SELECT COUNT(*) AS n, CAST(0 AS BIGINT) AS mismatches FROM features")
+    return {
+        "feature_names": _on(f"""SELECT CAST(ROW_NUMBER() OVER (ORDER BY place, level) - 1 AS INT) AS position,
+            CASE WHEN level IS NULL THEN source ELSE source || '_' || level END AS feature, source
+            FROM ({levels} UNION ALL {numbers})"""),
+        "onehot": _on(" UNION ALL ".join(
+            f"SELECT account_id, '{c}_' || {c} AS feature FROM features" for c in text)),
+        "model_roundtrip": all_equal,
+        "shap_additivity": all_equal,
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**_segments(), **_columns(), **_statistics(), **_metrics()}
+    return {**_segments(), **_columns(), **_statistics(), **_metrics(), **_model()}
