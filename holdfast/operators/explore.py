@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from holdfast.operators.scan import log_cells, running_totals
 
 
+# exp(-REACH^2 / 2) is below 2^-53, the precision of a double.
+REACH = 9.0
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long Pearson matrix (x, y, r) of all pairs, from one aggregation.
 
@@ -59,11 +63,16 @@ def density(
 
     (label, measure, i, x, density) on an even grid from min - cut*h to max + cut*h
     with h = sd * n^(-1/5).  Rows collapse to weighted distinct values first; every
-    value then adds its kernel to each grid point in a partial aggregation, so what
-    is shuffled is one row per grid point and task.  A group of one distinct value
-    has no density.
+    value then adds its kernel to the grid points within reach, in a partial
+    aggregation, so what is shuffled is one row per grid point and task.  Beyond REACH
+    bandwidths a kernel is below the last digit of a double, and as h shrinks with n,
+    the larger the table the fewer points each value touches.  A group of one distinct
+    value has no density.
     """
-    values = _stack(df, label, measures)
+    # Each value expands to many grid points, so the values are spread over a fixed
+    # number of partitions; by size alone they would be merged into too few.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = _stack(df, label, measures).repartition(partitions, "value")
     # A sum of squares loses digits, so the spread is taken about the mean.  Means and
     # spreads are broadcast: two labels times the listed measures, whatever the data.
     means = values.groupBy("label", "measure").agg(
@@ -81,20 +90,27 @@ def density(
                 (F.col("lo") - F.lit(cut) * F.col("h")).alias("start"),
                 ((F.col("hi") - F.col("lo") + F.lit(2 * cut) * F.col("h")) / (points - 1)).alias("step"))
     )
-    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
     x = F.col("start") + F.col("i") * F.col("step")
     z = (x - F.col("value")) / F.col("h")
-    return (
+
+    def nearest(offset: float) -> Column:
+        return (F.col("value") + F.lit(offset) * F.col("h") - F.col("start")) / F.col("step")
+
+    first = F.greatest(F.ceil(nearest(-REACH)), F.lit(0))
+    last = F.least(F.floor(nearest(REACH)), F.lit(points - 1))
+    masses = (
         values.join(F.broadcast(spread), ["label", "measure"])
-        .select("*", grid.alias("i"))
-        .groupBy("label", "measure", "i")
-        .agg(
-            F.first(x).alias("x"),
-            F.sum(F.col("w") * F.exp(z * z * -0.5)).alias("mass"),
-            F.first(F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))).alias("norm"),
-        )
-        .select("label", "measure", "i", F.round("x", 6).alias("x"),
-                F.round(F.col("mass") / F.col("norm"), 8).alias("density"))
+        .withColumn("i", F.explode(F.when(first <= last, F.sequence(first, last))))
+        .select("label", "measure", "i", (F.col("w") * F.exp(z * z * -0.5)).alias("mass"))
+        .groupBy("label", "measure", "i").agg(F.sum("mass").alias("mass"))
+    )
+    # The full grid, so that points out of every value's reach appear with density 0.
+    grid = spread.withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(points - 1).cast("bigint"))))
+    norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
+    return (
+        grid.join(masses, ["label", "measure", "i"], "left")
+        .select("label", "measure", F.col("i").cast("int").alias("i"), F.round(x, 6).alias("x"),
+                F.round(F.coalesce("mass", F.lit(0.0)) / norm, 8).alias("density"))
     )
 
 

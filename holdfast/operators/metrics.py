@@ -65,7 +65,9 @@ def pr_curve(df: DataFrame, score: str, label: str, digits: int = 8) -> DataFram
         F.round(F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")), digits).alias("precision"),
         F.round(F.coalesce(_ratio(F.col("cum_pos"), F.col("all_pos")), F.lit(1.0)), digits).alias("recall"),
     )
-    end = df.sparkSession.createDataFrame([(None, 1.0, 0.0)], points.schema)
+    end = df.sparkSession.range(1).select(
+        F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
+    )
     return points.unionByName(end)
 
 

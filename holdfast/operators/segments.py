@@ -165,12 +165,12 @@ def rate_by_domain(df: DataFrame, column: str, domain: Sequence[str], roles: Rol
         .agg(F.count(label).alias("rated"), F.sum(label.cast("bigint")).alias("churned"),
              F.count(F.lit(1)).alias("n"))
     )
-    axis = df.sparkSession.createDataFrame(
-        [(i, v) for i, v in enumerate(domain, 1)], f"position int, {column} string"
+    axis = df.sparkSession.range(1).select(
+        F.posexplode(F.array(*[F.lit(v) for v in domain])).alias("at", column)
     )
     return (
         axis.join(present.where(position > 0), column, "left")
-        .select("position", column, F.coalesce("n", F.lit(0)).alias("n"),
+        .select((F.col("at") + 1).alias("position"), column, F.coalesce("n", F.lit(0)).alias("n"),
                 rate_pct(F.col("churned"), F.col("rated")).alias("churn_rate_pct"))
         .orderBy("position")
     )

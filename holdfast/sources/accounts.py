@@ -6,7 +6,7 @@ probability, so that every engine derives the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.schema import Roles
@@ -22,73 +22,77 @@ ACCOUNT_ROLES = Roles(
 NOT_FEATURES = ("account_key", "u", "p", "score", "churn_text", "total_charges_text")
 
 
-def _three_way(count: str) -> Column:
-    n = F.coalesce(F.col(count), F.lit(0))
-    return F.when(n == 0, "Yes").when(n == 1, "No internet service").otherwise("No")
+# The columns read, so that opening a table costs no job of its own.
+_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "lineitem": "l_orderkey bigint, l_returnflag string, l_linestatus string",
+    "documents": "doc_id bigint, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
 
 
-def _div(col: Column, by: int) -> Column:
-    return F.call_function("div", col, F.lit(by))
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    # Keyed like the join below, so the two share one shuffle of the line items.
-    lines = table("lineitem").groupBy("l_orderkey").agg(
+    orders, customer, nation, region, lineitem = (
+        _table(spark, sf_dir, name) for name in ("orders", "customer", "nation", "region", "lineitem")
+    )
+    # Grouped by the key of the join below, so the two share one shuffle of the line items.
+    lines = lineitem.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("cnt"),
-        F.count_if(F.col("l_returnflag") == "R").alias("r_cnt"),
-        F.count_if(F.col("l_linestatus") == "F").alias("f_cnt"),
+        F.expr("count_if(l_returnflag = 'R')").alias("r_cnt"),
+        F.expr("count_if(l_linestatus = 'F')").alias("f_cnt"),
     )
     joined = (
-        table("orders")
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        orders.join(customer, F.expr("o_custkey = c_custkey"))
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .join(region, F.expr("n_regionkey = r_regionkey"))
+        # Both sides grow with the data: a join that sorts and spills, never a broadcast.
+        .join(lines.hint("merge"), F.expr("o_orderkey = l_orderkey"), "left")
     )
-    days = F.datediff(F.lit("2001-08-01").cast("date"), F.col("o_orderdate").cast("date"))
-    draw = F.conv(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 8), 16, 10).cast("bigint")
-    price_cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
-    base = joined.select(
-        F.col("o_orderkey").alias("account_key"),
-        F.col("o_orderkey").cast("string").alias("account_id"),
-        F.least(_div(days, 30), F.lit(72)).cast("int").alias("tenure"),
-        ((_div(price_cents, 4000) + 1800) / F.lit(100.0)).cast("decimal(18,2)").alias("monthly_charges"),
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "Month-to-month")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "One year")
-        .otherwise("Two year").alias("contract"),
-        F.col("c_mktsegment").alias("payment_method"),
-        F.col("r_name").alias("internet_service"),
-        _three_way("r_cnt").alias("tech_support"),
-        _three_way("f_cnt").alias("online_security"),
-        F.when(F.col("o_custkey") % 2 == 0, "Female").otherwise("Male").alias("gender"),
-        F.when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("senior"),
-        F.when(F.col("n_nationkey") % 2 == 0, "Yes").otherwise("No").alias("partner"),
-        F.when(F.coalesce(F.col("cnt"), F.lit(0)) > 4, "Yes").otherwise("No").alias("dependents"),
-        (draw / F.lit(4294967296.0)).alias("u"),
+    base = joined.selectExpr(
+        "o_orderkey AS account_key",
+        "CAST(o_orderkey AS STRING) AS account_id",
+        "CAST(least(datediff(DATE '2001-08-01', CAST(o_orderdate AS DATE)) div 30, 72) AS INT) AS tenure",
+        "CAST((CAST(round(o_totalprice * 100) AS BIGINT) div 4000 + 1800) / 100.0D AS DECIMAL(18,2)) AS monthly_charges",
+        """CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Month-to-month'
+                WHEN o_orderpriority = '3-MEDIUM' THEN 'One year' ELSE 'Two year' END AS contract""",
+        "c_mktsegment AS payment_method",
+        "r_name AS internet_service",
+        _three_way("r_cnt", "tech_support"),
+        _three_way("f_cnt", "online_security"),
+        "CASE WHEN o_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender",
+        "CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS senior",
+        "CASE WHEN n_nationkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS partner",
+        "CASE WHEN coalesce(cnt, 0) > 4 THEN 'Yes' ELSE 'No' END AS dependents",
+        "CAST(conv(substr(md5(CAST(o_orderkey AS STRING)), 1, 8), 16, 10) AS BIGINT) / 4294967296.0D AS u",
     )
-    monthly = F.col("contract") == "Month-to-month"
-    p = (
-        F.lit(0.05)
-        + F.when(monthly, 0.35).when(F.col("contract") == "One year", 0.08).otherwise(0.0)
-        + F.when(F.col("tenure") < 12, 0.20).otherwise(0.0)
-        + F.when(F.col("monthly_charges") > 65, 0.10).otherwise(0.0)
-        + F.when(F.col("tech_support") == "No", 0.08).otherwise(0.0)
+    planted = base.selectExpr("*", """0.05D
+        + CASE WHEN contract = 'Month-to-month' THEN 0.35D WHEN contract = 'One year' THEN 0.08D ELSE 0.0D END
+        + CASE WHEN tenure < 12 THEN 0.20D ELSE 0.0D END
+        + CASE WHEN monthly_charges > 65 THEN 0.10D ELSE 0.0D END
+        + CASE WHEN tech_support = 'No' THEN 0.08D ELSE 0.0D END AS p""")
+    return planted.selectExpr(
+        "*",
+        "CASE WHEN u < p THEN 1 ELSE 0 END AS churned",
+        """CASE WHEN tenure = 0 THEN ' '
+                ELSE CAST(CAST(monthly_charges * tenure AS DECIMAL(18,2)) AS STRING) END AS total_charges_text""",
+        "CASE WHEN u < p THEN 'Yes' ELSE 'No' END AS churn_text",
+        "p + ((account_key * 7919) % 997) / 9970.0D AS score",
     )
-    hit = F.col("u") < F.col("p")
-    total = (F.col("monthly_charges") * F.col("tenure")).cast("decimal(18,2)").cast("string")
-    return base.withColumn("p", p).withColumns({
-        "churned": F.when(hit, 1).otherwise(0),
-        "total_charges_text": F.when(F.col("tenure") == 0, " ").otherwise(total),
-        "churn_text": F.when(hit, "Yes").otherwise("No"),
-        "score": F.col("p") + ((F.col("account_key") * 7919) % 997) / F.lit(9970.0),
-    })
+
+
+def _three_way(count: str, name: str) -> str:
+    return (f"CASE WHEN coalesce({count}, 0) = 0 THEN 'Yes' WHEN {count} = 1 THEN 'No internet service' "
+            f"ELSE 'No' END AS {name}")
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their quality and toxicity labels: a second, unrelated schema."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", "n_chars")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return docs.join(labels, "doc_id")
+    return _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id")
