@@ -1,29 +1,33 @@
 """Exact quality measures of a score against a 0/1 label.
 
 The table first collapses to one row per distinct score; ranking measures then
-need only running totals over those (see ``scan``).
+need only running totals over those (see ``scan``).  Scores are expected to be
+probabilities; for others pass ascending ``bounds`` (as from ``approxQuantile``),
+which keep the work even and do not change the result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.exact import cents, div_half_up, hundredths, mean_money, money
 from holdfast.functions.rules import DECISION_THRESHOLD, decision_flag
-from holdfast.operators.scan import even_cells, running_totals
+from holdfast.operators.scan import bounded_cells, probability_cells, running_totals
 
 
-def _ranked(df: DataFrame, score: str, label: str) -> DataFrame:
+def _ranked(df: DataFrame, score: str, label: str, bounds: Sequence[float] | None = None) -> DataFrame:
     """(s, pos, neg, cum_pos, cum_neg, all_pos, all_neg): totals from the top score down."""
     groups = (
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias("s"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     )
-    return running_totals(
-        groups, ["s"], even_cells(F.col("s"), 0.0, 1.0), {"pos": "sum", "neg": "sum"}, descending=True
-    )
+    s = F.col("s")
+    cell = probability_cells(s) if bounds is None else bounded_cells(s, bounds)
+    return running_totals(groups, ["s"], cell, {"pos": "sum", "neg": "sum"}, descending=True)
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -42,24 +46,32 @@ def _avg_precision(digits: int) -> Column:
     return F.round(F.coalesce(area, F.lit(0.0)), digits).alias("avg_precision")
 
 
-def roc_auc(df: DataFrame, score: str, label: str, digits: int = 8) -> DataFrame:
+def roc_auc(
+    df: DataFrame, score: str, label: str, digits: int = 8, bounds: Sequence[float] | None = None
+) -> DataFrame:
     """One row: area under the ROC curve, tied pairs counting one half; NULL for one class."""
-    return _ranked(df, score, label).agg(_roc_auc(digits))
+    return _ranked(df, score, label, bounds).agg(_roc_auc(digits))
 
 
-def avg_precision(df: DataFrame, score: str, label: str, digits: int = 8) -> DataFrame:
+def avg_precision(
+    df: DataFrame, score: str, label: str, digits: int = 8, bounds: Sequence[float] | None = None
+) -> DataFrame:
     """One row: sum of precision times the step in recall (no trapezoids); 0 without positives."""
-    return _ranked(df, score, label).agg(_avg_precision(digits))
+    return _ranked(df, score, label, bounds).agg(_avg_precision(digits))
 
 
-def ranking_quality(df: DataFrame, score: str, label: str, digits: int = 8) -> DataFrame:
+def ranking_quality(
+    df: DataFrame, score: str, label: str, digits: int = 8, bounds: Sequence[float] | None = None
+) -> DataFrame:
     """Both of the above from one scan."""
-    return _ranked(df, score, label).agg(_roc_auc(digits), _avg_precision(digits))
+    return _ranked(df, score, label, bounds).agg(_roc_auc(digits), _avg_precision(digits))
 
 
-def pr_curve(df: DataFrame, score: str, label: str, digits: int = 8) -> DataFrame:
+def pr_curve(
+    df: DataFrame, score: str, label: str, digits: int = 8, bounds: Sequence[float] | None = None
+) -> DataFrame:
     """(threshold, precision, recall) per distinct score, and the end point (NULL, 1, 0)."""
-    ranked = _ranked(df, score, label)
+    ranked = _ranked(df, score, label, bounds)
     points = ranked.select(
         F.col("s").alias("threshold"),
         F.round(F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")), digits).alias("precision"),

@@ -36,6 +36,21 @@ def log_cells(col: Column, per_doubling: int = 32) -> Column:
     return F.coalesce(at, F.lit(-1)).cast("int")
 
 
+def probability_cells(col: Column, per_doubling: int = 128) -> Column:
+    """Cells for scores in [0, 1], fine near both ends, where scores of rare or sure events crowd.
+
+    The width is a constant share of the distance to the nearer end; values outside
+    join the first or last cell.
+    """
+    score, tiny = col.cast("double"), F.lit(2.0 ** -40)
+
+    def octaves(distance: Column) -> Column:
+        return F.log(F.least(F.greatest(distance, tiny) * 2, F.lit(1.0))) * F.lit(per_doubling / math.log(2))
+
+    at = F.when(score < 0.5, F.floor(octaves(score))).otherwise(F.floor(-octaves(1 - score)))
+    return F.coalesce(at, F.lit(0)).cast("int")
+
+
 def bounded_cells(col: Column, bounds: Sequence[float]) -> Column:
     """Cells cut at ascending bounds, for example those of ``DataFrame.approxQuantile``."""
     return F.coalesce(sum((F.when(col >= F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0)), F.lit(0))

@@ -72,6 +72,7 @@ def test_ranking_metrics_with_ties(spark, levels):
     quality = metrics.ranking_quality(df, "s", "y").first()
     assert quality["roc_auc"] == pytest.approx(brute_auc(pairs), abs=1e-8)
     assert quality["avg_precision"] == pytest.approx(brute_ap(pairs), abs=1e-8)
+    assert metrics.ranking_quality(df, "s", "y", bounds=[0.1, 0.5]).first() == quality
     curve = metrics.pr_curve(df, "s", "y").collect()
     assert len(curve) == len({s for s, _ in pairs}) + 1
     assert [r for r in curve if r["threshold"] is None] == [(None, 1.0, 0.0)]
@@ -119,6 +120,14 @@ def test_running_totals_do_not_depend_on_cells_or_partitions(spark, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_cells_never_decrease(spark):
+    values = [-1.0, 0.0, 1e-15, 1e-9, 0.001, 0.0010001, 0.3, 0.499999, 0.5, 0.500001, 0.7, 0.999, 1 - 1e-9, 1.0, 7.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double").orderBy("v")
+    for cell in (scan.probability_cells(F.col("v")), scan.even_cells(F.col("v"), 0, 1), explore._signed_cells(F.col("v"))):
+        cells = [r[0] for r in df.select(cell).collect()]
+        assert cells == sorted(cells) and len(set(cells)) > 5
+
+
 def test_running_totals_of_one_hot_key(spark):
     rows = [("hot", i, 1) for i in range(300)] + [("cold", 1, 1)]
     out = scan.running_totals(frame(spark, rows, "k string, v int, w int"), ["v"],
