@@ -9,6 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.operators.sampling import SEED, sample_n
 from holdfast.operators.scan import log_cells, running_totals
 
 
@@ -114,6 +115,16 @@ def density(
     )
 
 
+def scatter_points(
+    df: DataFrame, id_col: str, x: str, y: str, label: str, n: int = 5000, seed: int = SEED
+) -> DataFrame:
+    """(id, x, y, label) of a reproducible sample of at most ``n`` rows, for drawing.
+
+    ``segments.scatter_grid`` counts all rows instead.
+    """
+    return sample_n(df.select(id_col, x, y, label), id_col, n, seed)
+
+
 def box_stats(df: DataFrame, label: str, measure: str) -> DataFrame:
     """Quartiles, whiskers and outlier count of a measure per label, all exact.
 

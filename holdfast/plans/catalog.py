@@ -231,6 +231,8 @@ def _statistics() -> dict[str, Query]:
         "km_median": _on_customers(lambda df: survival.km_median(df, "contract", "tenure", "churned")),
         "corr_matrix": _on_customers(lambda df: explore.correlation_matrix(df, ["senior", *three, "churned"])),
         "kde_by_label": _on_customers(lambda df: explore.density(df, "churned", three)),
+        "scatter_points": _on_customers(lambda df: _plain(explore.scatter_points(
+            df, "account_id", "tenure", "monthly_charges", "churned"))),
         "violin_density": _on_customers(
             lambda df: explore.density(df, "churned", ["monthly_charges"], points=100, cut=2.0)),
         "box_stats": _on_customers(lambda df: explore.box_stats(df, "churned", "monthly_charges")),

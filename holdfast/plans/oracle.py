@@ -226,6 +226,8 @@ def _columns() -> dict[str, str]:
         "training_frame_join": _on(training),
         "sample_n": _on("SELECT account_id, tenure, contract FROM features "
                         "ORDER BY md5(account_id || ':42'), account_id LIMIT 1000"),
+        "scatter_points": _on("SELECT account_id, tenure, CAST(monthly_charges AS DOUBLE) AS monthly_charges, churned "
+                              "FROM features ORDER BY md5(account_id || ':42'), account_id LIMIT 5000"),
         "top_risk": _on("SELECT account_id, contract, CAST(monthly_charges AS DOUBLE) AS monthly_charges, tenure, "
                         "score FROM features ORDER BY score DESC, account_id LIMIT 20"),
         "customer_at_rank": _on("SELECT account_id, score FROM features ORDER BY score DESC, account_id "
