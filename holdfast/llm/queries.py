@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from holdfast.llm import licenses, mixing, pages, preferences, quality, simhash, warc
+from holdfast.llm import decontamination, licenses, mixing, pages, preferences, quality, scoring, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(_table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(_table(spark, sf_dir, "pages"))
 
@@ -29,6 +33,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(_table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(_table(spark, sf_dir, "documents"))
 
@@ -44,8 +52,8 @@ def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
-        op1_simhash_near_dedup, op3_license_scan, op5_warc_audit, op6_quality_rules, op8_mixing, op9_html_extraction,
-        op10_preference_formatting,
+        op1_simhash_near_dedup, op3_license_scan, op4_decontamination, op5_warc_audit, op6_quality_rules, op7_lm_scoring, op8_mixing,
+        op9_html_extraction, op10_preference_formatting,
     )
     return {f.__name__: f for f in every}
 
