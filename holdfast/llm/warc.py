@@ -103,12 +103,15 @@ def _heights(leaves: DataFrame, fanout: int) -> tuple[int, int]:
 
 
 def tree(leaves: DataFrame, heights: tuple[int, int], fanout: int = FANOUT) -> list[DataFrame]:
-    """Levels from the leaves to the root: (file_no, place, digest), places of the upper levels being 0."""
+    """Levels from the leaves to the root: (file_no, place, digest), places of the upper levels being 0.
+
+    Levels above the leaves are checkpointed, so that each is hashed once and plans stay short.
+    """
     levels = [leaves.select("file_no", "place", "digest")]
     for _ in range(heights[0]):
-        levels.append(_up(levels[-1], ["file_no"], "place", fanout))
+        levels.append(_up(levels[-1], ["file_no"], "place", fanout).checkpoint())
     for _ in range(heights[1]):
-        levels.append(_up(levels[-1], ["place"], "file_no", fanout).select("file_no", "place", "digest"))
+        levels.append(_up(levels[-1], ["place"], "file_no", fanout).select("file_no", "place", "digest").checkpoint())
     return levels
 
 
@@ -125,13 +128,14 @@ def differing(one: list[DataFrame], two: list[DataFrame], heights: tuple[int, in
             up = [F.floor(F.col("file_no") / fanout).cast("int") if files else F.col("file_no"), F.col("place") if files else F.floor(F.col("place") / fanout).cast("int")]
             below = lambda x, up=up, at=at: x.withColumns({"u": up[0], "v": up[1]}).join(at, ["u", "v"], "left_semi").drop("u", "v")
             a, b = below(a), below(b)
-        both = a.join(b, ["file_no", "place"], "left").filter(~F.col("digest").eqNullSafe(F.col("found")))
+        both = a.join(b, ["file_no", "place"], "left").filter(~F.col("digest").eqNullSafe(F.col("found"))).checkpoint()
         at = both.select(F.col("file_no").alias("u"), F.col("place").alias("v"))
     return both.select("file_no", "place", "found")
 
 
 def audit(listed: DataFrame, replica: DataFrame, fanout: int = FANOUT) -> DataFrame:
     """The manifest with status (ok, changed, missing) and found (the replica's digest where it differs)."""
+    ensure_checkpoint_dir(listed.sparkSession)
     heights = _heights(listed, fanout)
     bad = differing(tree(listed, heights, fanout), tree(replica, heights, fanout), heights, fanout).withColumn("bad", F.lit(True))
     status = F.when(F.col("bad").isNull(), "ok").when(F.col("found").isNull(), "missing").otherwise("changed")
