@@ -21,12 +21,17 @@ from holdfast.llm.text import total_bytes
 PACK_BYTES = 12 << 20
 
 
-def dealt(docs: DataFrame, id_col: str, text_col: str, pack_bytes: int = PACK_BYTES) -> tuple[DataFrame, int]:
-    """(pack, id, raw) shuffled by pack, and the number of packs. raw: UTF-8 bytes, NULL as empty."""
-    lean = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary").alias("raw"))
+def dealt(docs: DataFrame, id_col: str, text_col: str, pack_bytes: int = PACK_BYTES, keep: bool = False) -> tuple[DataFrame, int]:
+    """(pack, id, raw) shuffled by pack, and the number of packs. raw: UTF-8 bytes, NULL as empty.
+
+    With keep, the column rest holds the documents' columns but for the text.
+    """
+    rest = [F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col)).alias("rest")] if keep else []
+    raw = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
+    lean = docs.select(F.col(f"`{id_col}`").alias("id"), raw.alias("raw"), *rest)
     n = max(1, ceil(total_bytes(lean, "raw") / pack_bytes))
     pack = F.pmod(F.xxhash64("id", "raw"), F.lit(n)).cast("int")
-    return lean.select(pack.alias("pack"), "id", "raw").repartition(n, "pack"), n
+    return lean.select(pack.alias("pack"), *lean.columns).repartition(n, "pack"), n
 
 
 def by_range(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:

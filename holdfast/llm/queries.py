@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from holdfast.llm import decontamination, licenses, mixing, pages, preferences, quality, scoring, simhash, warc
+from holdfast.llm import decontamination, licenses, mixing, pages, passages, preferences, quality, scoring, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(_table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.report(_table(spark, sf_dir, "documents"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(_table(spark, sf_dir, "documents"))
 
@@ -52,8 +56,8 @@ def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
-        op1_simhash_near_dedup, op3_license_scan, op4_decontamination, op5_warc_audit, op6_quality_rules, op7_lm_scoring, op8_mixing,
-        op9_html_extraction, op10_preference_formatting,
+        op1_simhash_near_dedup, op2_suffix_array_dedup, op3_license_scan, op4_decontamination, op5_warc_audit, op6_quality_rules,
+        op7_lm_scoring, op8_mixing, op9_html_extraction, op10_preference_formatting,
     )
     return {f.__name__: f for f in every}
 
