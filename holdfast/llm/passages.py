@@ -340,6 +340,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 50) -> DataFrame:
-    """The documents with repeated passages cut out of the text, all other columns as they are."""
+    """The documents with repeated passages cut out of the text, a column n_chars counted anew, the others as they are."""
     rows = _plan(docs, id_col, text_col, size, True)
-    return rows.select(*(F.col("kept").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns))
+    new = {text_col: F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return rows.select(*(new.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))

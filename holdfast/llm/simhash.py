@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.components import components
+from holdfast.llm.packs import mix
 from holdfast.sources.storage import ensure_checkpoint_dir
 
 BITS, BLOCK = 64, 65_536
@@ -173,52 +174,56 @@ class Plan:
 
 
 def _probes(prints: DataFrame, plan: Plan) -> DataFrame:
-    """(part, key, print): the values that each fingerprint probes."""
+    """(space, part, key, print): the values that each fingerprint probes."""
     balls = [plan.balls(p) for p in range(len(plan.groups))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            space = b.column(1).to_numpy(zero_copy_only=False)
             chosen = plan.thresholds(x.view(np.int64))
             for part, mask in enumerate(plan.masks):
                 for t in range(plan.most + 1):
-                    own = x[chosen[:, part] == t]
+                    mine = chosen[:, part] == t
+                    own, times = x[mine], len(balls[part][t])
                     if len(own):
                         keys = ((own & np.uint64(mask))[:, None] ^ balls[part][t]).ravel().view(np.int64)
-                        who = np.repeat(own, len(balls[part][t])).view(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), part, np.int32)), pa.array(keys), pa.array(who)], names=["part", "key", "print"])
+                        cols = [np.repeat(space[mine], times), np.full(len(keys), part, np.int32), keys, np.repeat(own, times).view(np.int64)]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["space", "part", "key", "print"])
 
-    return prints.select("print").mapInArrow(run, "part int, key bigint, print bigint")
+    return prints.select("print", "space").mapInArrow(run, "space int, part int, key bigint, print bigint")
 
 
 def _variants(prints: DataFrame) -> DataFrame:
     """(variant, print): each fingerprint and its 64 neighbours at distance one."""
     changes = F.array(F.lit(0).cast("long"), *(F.lit(1 << b if b < 63 else -(1 << 63)).cast("long") for b in range(BITS)))
-    return prints.select("print", F.explode(F.transform(changes, lambda c: F.col("print").bitwiseXOR(c))).alias("variant"))
+    return prints.select("space", "print", F.explode(F.transform(changes, lambda c: F.col("print").bitwiseXOR(c))).alias("variant"))
 
 
 def links(prints: DataFrame, most: int = 2, parts: int = 3, light: int = 64) -> DataFrame:
-    """(a, b): links enough to connect all distinct fingerprints at `most` or fewer differing bits.
+    """(space, a, b): links enough to connect all distinct fingerprints of a space at `most` or fewer differing bits.
 
-    prints: distinct fingerprints in column print, cheap to read again (checkpointed). Buckets of up to `light` members are
-    joined and verified pair by pair; larger ones go the linear way (see above) and give stars instead of all pairs.
+    prints: distinct (space, print), cheap to read again (checkpointed); spaces are kinds of fingerprints that are not
+    compared with each other. Buckets of up to `light` members are joined and verified pair by pair; larger ones go the linear
+    way (see above) and give stars instead of all pairs.
     """
     plan = Plan(prints, most, parts)
     masks = F.array(*(F.lit(m if m < 1 << 63 else m - (1 << 64)).cast("long") for m in plan.masks))
-    index = prints.select(F.posexplode(masks).alias("part", "mask"), "print")
-    index = index.select("part", F.col("print").bitwiseAND(F.col("mask")).alias("key"), "print")
+    index = prints.select("space", F.posexplode(masks).alias("part", "mask"), "print")
+    key = ["space", "part", "key"]
+    index = index.select("space", "part", F.col("print").bitwiseAND(F.col("mask")).alias("key"), "print")
     probes = _probes(prints, plan)
-    size = index.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"))
+    size = index.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     few = size if most != 2 else size.filter(F.col("n") <= light)
-    met = probes.join(index.join(few, ["part", "key"]).select("part", "key", F.col("print").alias("other")), ["part", "key"])
+    met = probes.join(index.join(few, key).select(*key, F.col("print").alias("other")), key)
     apart = F.bit_count(F.col("print").bitwiseXOR(F.col("other")))
-    pairs = met.filter((F.col("print") != F.col("other")) & (apart <= most)).select(F.col("print").alias("a"), F.col("other").alias("b"))
+    pairs = met.filter((F.col("print") != F.col("other")) & (apart <= most)).select("space", F.col("print").alias("a"), F.col("other").alias("b"))
     if most != 2:
         return pairs
-    many = size.filter(F.col("n") > light).select("part", "key")
-    crowded = probes.unionByName(index).join(many, ["part", "key"], "left_semi").select("print").distinct()
-    groups = _variants(crowded).groupBy("variant").agg(F.collect_set("print").alias("all")).filter(F.size("all") > 1)
-    stars = groups.select(F.array_min("all").alias("a"), F.explode("all").alias("b")).filter("a <> b")
+    many = size.filter(F.col("n") > light).select(*key)
+    crowded = probes.unionByName(index).join(many, key, "left_semi").select("space", "print").distinct()
+    groups = _variants(crowded).groupBy("space", "variant").agg(F.collect_set("print").alias("all")).filter(F.size("all") > 1)
+    stars = groups.select("space", F.array_min("all").alias("a"), F.explode("all").alias("b")).filter("a <> b")
     return pairs.unionByName(stars)
 
 
@@ -226,8 +231,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, print, component): component is the smallest id reachable over links, the row's own included."""
     ensure_checkpoint_dir(docs.sparkSession)
     rows = fingerprints(docs, id_col, text_col, shingle).checkpoint()
-    nodes = rows.groupBy("print").agg(F.min("id").alias("least")).checkpoint()
-    roots = components(links(nodes, most))
+    nodes = rows.groupBy("print").agg(F.min("id").alias("least")).withColumn("space", F.lit(0)).checkpoint()
+    roots = components(links(nodes, most).select("a", "b"))
     placed = nodes.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn("root", F.coalesce("root", "print"))
     names = placed.groupBy("root").agg(F.min("least").alias("component"))
     known = placed.select("print", "root").join(names, "root").select("print", "component")
@@ -241,8 +246,73 @@ def report(docs: DataFrame) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most: int = 2) -> DataFrame:
-    """One document of each group: that with the smallest identifier. All columns as they are."""
-    found = near_duplicates(docs, id_col, text_col, shingle, most)
-    keep = found.filter(F.col("id") == F.col("component")).select(F.col("id").alias("kept_id")).distinct()
-    return docs.join(keep, docs[id_col] == keep["kept_id"], "left_semi")
+def _majority(h: np.ndarray) -> int:
+    ones = np.zeros(BITS, np.int64)
+    for i in range(0, len(h), BLOCK):
+        ones += _bits(h[i : i + BLOCK]).sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.int64)[0])
+
+
+def sketch(raw: bytes, shingle: int, spaces: int) -> list[int]:
+    """Signed fingerprints of the set of a text's shingles under `spaces` hash functions."""
+    w = raw.lower().split()
+    grams = set(map(b" ".join, zip(*(w[i:] for i in range(shingle)), strict=False))) if len(w) >= shingle else {b" ".join(w)} if w else set()
+    h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), grams), np.uint64, len(grams))
+    with np.errstate(over="ignore"):
+        return [_majority(mix(h + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1))) if len(h) else 0 for k in range(spaces)]
+
+
+def sketches(docs: DataFrame, id_col: str, text_col: str, find: int, prove: int, shingle: int) -> DataFrame:
+    """(id, find, prove): fingerprints of single words to find candidates, and of shingles to verify them."""
+    lean = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("raw"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            both = [(sketch(raw, 1, find), sketch(raw, shingle, prove)) for raw in (x.as_py() or b"" for x in b.column(1))]
+            cols = [b.column(0), *(pa.array([x[i] for x in both], pa.list_(pa.int64())) for i in range(2))]
+            yield pa.RecordBatch.from_arrays(cols, names=["id", "find", "prove"])
+
+    return lean.mapInArrow(run, f"id {lean.schema['id'].dataType.simpleString()}, find array<bigint>, prove array<bigint>")
+
+
+def near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, find: int = 12, prove: int = 4
+) -> DataFrame:
+    """(id, component): documents whose sets of word shingles have an estimated Jaccard similarity of `similarity` or more.
+
+    A change of one word changes `shingle` shingles, which moves too many bits of their fingerprint for any index. Candidates
+    are therefore documents at distance 2 or less in one of `find` fingerprints of their set of single words; each is
+    verified on 64 * prove bits of fingerprints of their shingles, whose distance estimates the similarity. Equal sketches
+    are one node. Copies of the same document are joined through the smallest document of each fingerprint.
+    """
+    ensure_checkpoint_dir(docs.sparkSession)
+    rows = sketches(docs, id_col, text_col, find, prove, shingle).withColumn("key", F.xxhash64("find", "prove")).checkpoint()
+    nodes = rows.groupBy("key").agg(F.min("id").alias("node"), F.first("find").alias("find"), F.first("prove").alias("prove")).checkpoint()
+    placed = nodes.select("node", "prove", F.posexplode("find").alias("space", "print"))
+    heads = placed.groupBy("space", "print").agg(F.min_by(F.struct("node", "prove"), "node").alias("head"))
+    heads = heads.select("space", "print", F.col("head.node").alias("node"), F.col("head.prove").alias("prove")).checkpoint()
+    found = links(heads.select("space", "print"), 2)
+    end = lambda side: heads.select("space", F.col("print").alias(side), F.struct("node", "prove").alias(f"{side}_end"))
+    across = found.join(end("a"), ["space", "a"]).join(end("b"), ["space", "b"]).select("a_end", "b_end")
+    within = placed.join(heads.select("space", "print", F.struct("node", "prove").alias("b_end")), ["space", "print"])
+    within = within.select(F.struct("node", "prove").alias("a_end"), "b_end")
+    ends = across.unionByName(within).filter(F.col("a_end.node") != F.col("b_end.node"))
+    apart = F.aggregate(
+        F.zip_with("a_end.prove", "b_end.prove", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x
+    )
+    # sets of equal size with Jaccard similarity s have the cosine 2 s / (1 + s); the slack is 1.5 standard deviations of
+    # the number of differing bits, so that nearly all pairs of that similarity pass
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    most = int(BITS * prove * share + 1.5 * np.sqrt(BITS * prove * share * (1 - share)))
+    sure = ends.filter(apart <= most).select(F.col("a_end.node").alias("a"), F.col("b_end.node").alias("b"))
+    roots = components(sure)
+    named = nodes.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("component"))
+    return rows.join(named, "key").select("id", "component")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """One document of each group of near copies (see `near_copies`), that with the smallest identifier, all columns as they are."""
+    found = near_copies(docs, id_col, text_col, **how)
+    gone = found.filter(F.col("id") != F.col("component")).select(F.col("id").alias("gone_id")).distinct()
+    first = docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+    return first.dropDuplicates([id_col])
