@@ -15,7 +15,6 @@ AVG_MONTHLY = 65.0
 OFFER_COST = 10.0
 TOP_N = 500
 ACCEPTANCE = 0.30
-RANK_POOL = 300
 THRESHOLDS = tuple(round(0.05 * i, 2) for i in range(1, 20))
 SIZES = tuple(range(50, 2001, 50))
 ACCEPTANCES = tuple(i / 100 for i in range(5, 81, 5))
@@ -134,11 +133,11 @@ def top_risk(df: DataFrame, score: str, id_col: str, columns: Sequence[str], n:
 
 
 def customer_at_rank(
-    df: DataFrame, score: str, id_col: str, rank: int, pool: int = RANK_POOL
+    df: DataFrame, score: str, id_col: str, rank: int, pool: int | None = None
 ) -> DataFrame:
-    """The customer at ``rank`` (0 = highest score) among the first ``pool``."""
-    if not 0 <= rank < pool:
-        raise ValueError(f"rank must lie in 0..{pool - 1}")
+    """The customer at ``rank`` (0 = highest score), if given among the first ``pool``; no row beyond the last."""
+    if rank < 0 or (pool is not None and rank >= pool):
+        raise ValueError("rank must not be negative" if pool is None else f"rank must lie in 0..{pool - 1}")
     return _riskiest(df, score, id_col).offset(rank).limit(1)
 
 

@@ -115,14 +115,9 @@ def density(
     )
 
 
-def scatter_points(
-    df: DataFrame, id_col: str, x: str, y: str, label: str, n: int = 5000, seed: int = SEED
-) -> DataFrame:
-    """(id, x, y, label) of a reproducible sample of at most ``n`` rows, for drawing.
-
-    ``segments.scatter_grid`` counts all rows instead.
-    """
-    return sample_n(df.select(id_col, x, y, label), id_col, n, seed)
+def scatter_points(df: DataFrame, x: str, y: str, label: str) -> DataFrame:
+    """(x, y, label, n): every point that is drawn, with the number of rows that fall on it."""
+    return df.groupBy(x, y, label).agg(F.count(F.lit(1)).alias("n"))
 
 
 def box_stats(df: DataFrame, label: str, measure: str) -> DataFrame:

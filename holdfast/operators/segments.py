@@ -156,8 +156,14 @@ def rate_by_category(df: DataFrame, columns: Sequence[str], roles: Roles = Roles
     )
 
 
+OTHER = "other"
+
+
 def rate_by_domain(df: DataFrame, column: str, domain: Sequence[str], roles: Roles = Roles()) -> DataFrame:
-    """Churn rate along a fixed axis: every domain value in its order, empty ones as NULL."""
+    """Churn rate along a fixed axis: every domain value in its order, empty ones as NULL.
+
+    Values off the axis follow behind it, in the order of their names, NULL last.
+    """
     label = F.col(roles.label)
     position = F.array_position(F.array(*[F.lit(v) for v in domain]), F.col(column))
     present = (
@@ -168,29 +174,32 @@ def rate_by_domain(df: DataFrame, column: str, domain: Sequence[str], roles: Rol
     axis = df.sparkSession.range(1).select(
         F.posexplode(F.array(*[F.lit(v) for v in domain])).alias("at", column)
     )
+    on_axis = axis.join(present.where(position > 0), column, "left").withColumn("position", F.col("at") + 1)
+    beyond = present.where(F.coalesce(position, F.lit(0)) == 0).withColumn("position", F.lit(len(domain) + 1))
     return (
-        axis.join(present.where(position > 0), column, "left")
-        .select((F.col("at") + 1).alias("position"), column, F.coalesce("n", F.lit(0)).alias("n"),
+        on_axis.unionByName(beyond, allowMissingColumns=True)
+        .select("position", column, F.coalesce("n", F.lit(0)).alias("n"),
                 rate_pct(F.col("churned"), F.col("rated")).alias("churn_rate_pct"))
-        .orderBy("position")
+        .orderBy("position", F.col(column).asc_nulls_last())
     )
 
 
 def rate_matrix(
     df: DataFrame, row: str, column: str, values: Sequence[str], roles: Roles = Roles()
 ) -> DataFrame:
-    """Churn rate with one row per ``row`` value and one column per listed ``column`` value.
+    """Churn rate with one row per ``row`` value, one column per listed ``column`` value and one for all others.
 
-    NULL row keys form no row, as in a spreadsheet pivot.
+    NULL keys form no row and no column, as in a spreadsheet pivot.
     """
     label = F.col(roles.label)
     aggs = []
-    for v in values:
-        here = F.when(F.col(column) == v, label)
+    named = {v: F.col(column) == v for v in values} | {OTHER: ~F.col(column).isin(*values)}
+    for v, test in named.items():
+        here = F.when(test, label)
         aggs += [F.sum(here.cast("bigint")).alias(f"{v}__hits"), F.count(here).alias(f"{v}__n")]
     return (
         df.where(F.col(row).isNotNull()).groupBy(row).agg(*aggs)
-        .select(row, *[rate_pct(F.col(f"`{v}__hits`"), F.col(f"`{v}__n`")).alias(v) for v in values])
+        .select(row, *[rate_pct(F.col(f"`{v}__hits`"), F.col(f"`{v}__n`")).alias(v) for v in named])
         .orderBy(row)
     )
 

@@ -25,7 +25,6 @@ from holdfast.schema import Roles, split_by_type
 from holdfast.sources.storage import ensure_checkpoint_dir
 
 FEATURES, WEIGHT = "features", "__weight"
-MAX_LEVELS = 10_000
 
 # The tuned model, and the lists the search draws from.  Spark's trees
 # have no L1 / L2 penalty on leaves; ``spark_params`` translates the other names.
@@ -86,12 +85,12 @@ def feature_stages(df: DataFrame, roles: Roles = Roles()) -> list:
     return [*stages, VectorAssembler(inputCols=slots + numeric, outputCol=FEATURES, handleInvalid="keep")]
 
 
-def check_levels(df: DataFrame, columns: Sequence[str], most: int = MAX_LEVELS) -> None:
-    """Refuse text columns with so many values that one-hot columns make no sense.
+def check_levels(df: DataFrame, columns: Sequence[str], most: int | None) -> None:
+    """Refuse text columns with more than ``most`` values, if that is asked for.
 
-    The category list of each column reaches the driver, so its size is checked first.
+    The category list of each column reaches the driver, so a caller who does not know the columns can bound it.
     """
-    if not columns:
+    if not columns or most is None:
         return
     counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
     wide = [f"{c} (~{counts[c]})" for c in columns if counts[c] > most]
@@ -99,10 +98,10 @@ def check_levels(df: DataFrame, columns: Sequence[str], most: int = MAX_LEVELS)
         raise ValueError(f"more than {most} categories in: " + ", ".join(wide))
 
 
-def fit_features(df: DataFrame, roles: Roles = Roles()) -> PipelineModel:
+def fit_features(df: DataFrame, roles: Roles = Roles(), most_levels: int | None = None) -> PipelineModel:
     stages = feature_stages(df, roles)
     if isinstance(stages[0], StringIndexer):
-        check_levels(df, stages[0].getInputCols())
+        check_levels(df, stages[0].getInputCols(), most_levels)
     return Pipeline(stages=stages).fit(df)
 
 

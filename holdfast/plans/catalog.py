@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from holdfast.operators import (
     campaign, explore, metrics, sampling, scoring, segments, significance, survival, training,
 )
 from holdfast.operators.attribution import Explainer
-from holdfast.plans.presets import named_query, query_names
+from holdfast.plans.presets import EXPORT_SHEETS, named_query, query_names
 from holdfast.sources import exports, tables
 from holdfast.sources.accounts import ACCOUNT_ROLES, NOT_FEATURES, accounts, labelled_documents
 from holdfast.sources.storage import fresh_path
@@ -82,12 +84,37 @@ def _derived(rule: Callable[..., Column], name: str, *inputs: str) -> Query:
 
 # --- sources and sinks ---------------------------------------------------------------
 
-def _ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_path(spark, "customers-csv")
-    raw_customers(spark, sf_dir).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+def _written_csv(df: DataFrame) -> str:
+    path = fresh_path(df.sparkSession, "customers-csv")
+    df.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False).csv(path)
-    table = tables.clean_customers(tables.read_customers_csv(spark, path, ACCOUNT_CSV), ROLES)
-    return _plain(table.drop(tables.CORRUPT))
+    return path
+
+
+def _read_back(spark: SparkSession, path: str) -> DataFrame:
+    good, _ = tables.split_rejects(tables.read_customers_csv(spark, path, ACCOUNT_CSV))
+    return tables.clean_customers(good, ROLES)
+
+
+def _ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(_read_back(spark, _written_csv(raw_customers(spark, sf_dir))))
+
+
+def _ingest_csv_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file whose columns stand in another order than the schema's."""
+    raw = raw_customers(spark, sf_dir)
+    return _plain(_read_back(spark, _written_csv(raw.select(*reversed(raw.columns)))))
+
+
+def _ingest_csv_more(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with seven further columns between the others, and rows whose tenure is no number."""
+    raw = raw_customers(spark, sf_dir)
+    extra = [F.lit(f"v{i}").alias(f"extra{i}") for i in range(7)]
+    mixed = raw.select(*(x for pair in zip(extra, raw.columns) for x in pair), *raw.columns[7:])
+    tenure = F.col("tenure").cast("string")
+    spoilt = mixed.where("tenure < 3").withColumn("tenure", F.concat(tenure, F.lit(" months")))
+    path = _written_csv(mixed.withColumn("tenure", tenure).unionByName(spoilt))
+    return _plain(_read_back(spark, path).select(*raw.columns))
 
 
 def _persist_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,10 +129,15 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _named_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables.register_views(customers(spark, sf_dir), ROLES, "account_data", "account_features")
-    return tables.run_sql(spark, """
-        SELECT payment_method, COUNT(*) AS customers, ROUND(AVG(churned), 6) AS churn_rate
-        FROM account_features GROUP BY payment_method;
+    """A script of two statements on views of its own."""
+    name = f"account_features_{uuid.uuid4().hex[:8]}"
+    tables.register_views(customers(spark, sf_dir), ROLES, f"{name}_raw", name)
+    return tables.run_sql(spark, f"""
+        -- a comment; with a semicolon
+        SELECT COUNT(*) AS n FROM {name}_raw WHERE payment_method <> 'a;b';
+        SELECT payment_method, COUNT(*) AS customers,
+          (SUM(churned) * 20000 + COUNT(*)) DIV (2 * COUNT(*)) / CAST(100 AS DOUBLE) AS churn_rate_pct
+        FROM {name} GROUP BY payment_method;
     """)
 
 
@@ -113,21 +145,33 @@ def _export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = features(spark, sf_dir)
     paths = exports.export_dashboard(table, fresh_path(spark, "export"), ROLES)
 
-    def sheet(name: str, query: str, key: str, n: str) -> DataFrame:
-        back = exports.read_export(spark, paths[name], named_query(query, table, ROLES))
-        return back.select(F.lit(name).alias("sheet"), F.col(key).alias("segment"), F.col(n).alias("n"),
-                           "churn_rate_pct")
+    def sheet(name: str, key: str, n: str, rate: str = "churn_rate_pct") -> DataFrame:
+        back = exports.read_export(spark, paths[name], named_query(EXPORT_SHEETS[name], table, ROLES))
+        return back.select(F.lit(name).alias("sheet"), F.expr(key).alias("segment"), F.col(n).alias("n"),
+                           F.col(rate).alias("churn_rate_pct"))
 
-    return sheet("02_churn_by_contract", "export_contract", "contract", "total_customers").unionByName(
-        sheet("03_churn_by_tenure_bucket", "export_tenure", "tenure_bucket", "customers"))
+    sheets = [
+        sheet("01_kpis", "'all'", "high_risk_customers_count", "overall_churn_rate_pct"),
+        sheet("02_churn_by_contract", "contract", "total_customers"),
+        sheet("03_churn_by_tenure_bucket", "tenure_bucket", "customers"),
+        sheet("04_support_services_vs_churn", "tech_support || '/' || online_security", "customers"),
+        sheet("05_action_segments_top20", "contract || '/' || tenure_bucket || '/' || risk_flag", "customers"),
+    ]
+    return reduce(DataFrame.unionByName, sheets)
 
 
 def _high_risk_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = customers(spark, sf_dir).select(*DISPLAY, "score", rules.risk_level(F.col("score")).alias("Risk_Level"))
+    """The whole rows, with probability, flag and level."""
+    scored = _judged(customers(spark, sf_dir).select(*ROLES.feature_table_columns(), "score"))
     path = fresh_path(spark, "high-risk")
     exports.export_high_risk(scored, "score", "account_id", path)
-    back = spark.read.schema(scored.schema).option("header", True).csv(path)
-    return _plain(back.drop("Risk_Level"))
+    return _plain(spark.read.schema(scored.schema).option("header", True).csv(path))
+
+
+def _judged(df: DataFrame) -> DataFrame:
+    return df.withColumns({
+        "Predicted_Churn": rules.decision_flag(F.col("score")), "Risk_Level": rules.risk_level(F.col("score")),
+    })
 
 
 def _training_frame(spark: SparkSession, sf_dir: str, joined: bool) -> DataFrame:
@@ -139,6 +183,8 @@ def _training_frame(spark: SparkSession, sf_dir: str, joined: bool) -> DataFrame
 def _sources() -> dict[str, Query]:
     return {
         "ingest_csv": _ingest_csv,
+        "ingest_csv_shuffled": _ingest_csv_shuffled,
+        "ingest_csv_more": _ingest_csv_more,
         "persist_raw": _persist_raw,
         "features": _features,
         "named_query": _named_query,
@@ -199,6 +245,10 @@ def _segments() -> dict[str, Query]:
             lambda df: segments.rate_by_domain(df, "tenure_bucket", rules.TENURE_DOMAIN, ROLES)),
         "service_heatmap": _on_features(
             lambda df: segments.rate_matrix(df, ROLES.support, ROLES.security, levels, ROLES)),
+        "service_heatmap_unlisted": _on_features(
+            lambda df: segments.rate_matrix(df, ROLES.support, ROLES.security, levels[:1], ROLES)),
+        "rate_by_bucket_unlisted": _on_features(
+            lambda df: segments.rate_by_domain(df, "tenure_bucket", rules.TENURE_DOMAIN[1:3], ROLES)),
         "class_weight": _on_features(lambda df: segments.class_weight(df, ROLES.label)),
         "dashboard_segments": _on_features(lambda df: segments.dashboard_segments(
             named_query("export_top_segments", df, ROLES), ["risk_flag", "tenure_bucket"])),
@@ -232,7 +282,7 @@ def _statistics() -> dict[str, Query]:
         "corr_matrix": _on_customers(lambda df: explore.correlation_matrix(df, ["senior", *three, "churned"])),
         "kde_by_label": _on_customers(lambda df: explore.density(df, "churned", three)),
         "scatter_points": _on_customers(lambda df: _plain(explore.scatter_points(
-            df, "account_id", "tenure", "monthly_charges", "churned"))),
+            df, "tenure", "monthly_charges", "churned"))),
         "violin_density": _on_customers(
             lambda df: explore.density(df, "churned", ["monthly_charges"], points=100, cut=2.0)),
         "box_stats": _on_customers(lambda df: explore.box_stats(df, "churned", "monthly_charges")),
@@ -266,6 +316,8 @@ def _scores() -> dict[str, Query]:
         "class_report": _on_customers(lambda df: metrics.class_report(matrix(df))),
         "recall_at": _on_customers(lambda df: metrics.recall_at(matrix(df))),
         "cost_framing": _on_customers(_cost_framing),
+        "class_weight_train": _on_customers(lambda df: segments.class_weight(
+            sampling.stratified_split(df.select("account_id", y), "account_id", y).where("split = 'train'"), y)),
         "stratified_split": _on_customers(
             lambda df: sampling.stratified_split(df.select("account_id", y), "account_id", y)),
         "stratified_folds": _on_customers(
@@ -276,7 +328,8 @@ def _scores() -> dict[str, Query]:
         "threshold_sweep": _on_customers(lambda df: campaign.threshold_sweep(df, s, y)),
         "campaign_roi": _on_customers(lambda df: campaign.campaign_roi(df, s)),
         "campaign_grid": _on_customers(lambda df: campaign.campaign_grid(df, s)),
-        "top_risk": _on_customers(lambda df: _plain(campaign.top_risk(df, s, "account_id", DISPLAY))),
+        "top_risk": _on_customers(lambda df: _plain(campaign.top_risk(
+            _judged(df), s, "account_id", [*DISPLAY, "Predicted_Churn", "Risk_Level"]))),
         "customer_at_rank": _on_customers(
             lambda df: campaign.customer_at_rank(df.select("account_id", s), s, "account_id", 7)),
     }

@@ -125,6 +125,11 @@ def _segments() -> dict[str, str]:
         _rate(f"SUM(CASE WHEN online_security = '{v}' THEN churned END)",
               f"COUNT(CASE WHEN online_security = '{v}' THEN churned END)") + f' AS "{v}"'
         for v in ("No", "No internet service", "Yes"))
+    other = lambda listed: _rate(
+        f"COALESCE(SUM(CASE WHEN online_security NOT IN ({listed}) THEN churned END), 0)",
+        f"COUNT(CASE WHEN online_security NOT IN ({listed}) THEN churned END)") + " AS other"
+    only = _rate("SUM(CASE WHEN online_security = 'No' THEN churned END)",
+                 "COUNT(CASE WHEN online_security = 'No' THEN churned END)") + ' AS "No"'
     n, size = _N.format("total_customers"), _N.format("customers")
     return {
         "cohort_contract": _groups("contract", n, _CHURNED, _CHURN_RATE, _SHEET, _PROXY),
@@ -161,7 +166,13 @@ def _segments() -> dict[str, str]:
             FROM (VALUES (1, '0-1yr'), (2, '1-2yr'), (3, '2-4yr'), (4, '4+yr')) d(position, tenure_bucket)
             LEFT JOIN features f ON f.tenure_bucket = d.tenure_bucket GROUP BY d.position, d.tenure_bucket"""),
         "proxy_by_contract": _groups("contract", size, _CHURN_RATE, _CHURNED, _avg("cents", "avg_monthly"), _PROXY),
-        "service_heatmap": _on(f"SELECT tech_support, {heat} FROM features GROUP BY tech_support"),
+        "service_heatmap": _on(f"""SELECT tech_support, {heat}, {other("'No', 'No internet service', 'Yes'")}
+            FROM features GROUP BY tech_support"""),
+        "service_heatmap_unlisted": _on(
+            f"""SELECT tech_support, {only}, {other("'No'")} FROM features GROUP BY tech_support"""),
+        "rate_by_bucket_unlisted": _on(f"""SELECT CASE tenure_bucket WHEN '1-2yr' THEN 1 WHEN '2-4yr' THEN 2 ELSE 3 END
+            AS position, tenure_bucket, COUNT(*) AS n, {_rate('SUM(churned)', 'COUNT(churned)')} AS churn_rate_pct
+            FROM features GROUP BY tenure_bucket"""),
         "payment_rate_size": _groups("payment_method", size, _CHURN_RATE),
         "class_weight": _on("""SELECT COUNT(*) FILTER (churned = 0) AS neg, COUNT(*) FILTER (churned = 1) AS pos,
             CASE WHEN COUNT(*) FILTER (churned = 1) = 0 THEN 1.0::DOUBLE ELSE
@@ -196,20 +207,28 @@ def _columns() -> dict[str, str]:
     segments = "tenure_bucket, charge_tier, risk_flag"
     level = """CASE WHEN score < 0 THEN NULL WHEN score <= 0.3 THEN 'Low' WHEN score <= 0.6 THEN 'Medium'
       WHEN score <= 1.0 THEN 'High' END"""
+    flag = 'CASE WHEN score >= 0.35 THEN 1 ELSE 0 END AS "Predicted_Churn"'
     training = f"""SELECT {raw}, CAST(total_charges AS DOUBLE) AS total_charges, churned, {segments} FROM features"""
     return {
-        "ingest_csv": _on(f"""SELECT {raw}, CAST(total_charges AS DOUBLE) AS total_charges, churned FROM features"""),
+        **dict.fromkeys(("ingest_csv", "ingest_csv_shuffled", "ingest_csv_more"), _on(
+            f"""SELECT {raw}, CAST(total_charges AS DOUBLE) AS total_charges, churned FROM features""")),
         "persist_raw": _on(f"SELECT {stored} FROM features"),
         "features": _on(f"SELECT {stored}, {segments} FROM features"),
-        "named_query": _on("SELECT payment_method, COUNT(*) AS customers, ROUND(AVG(churned), 6) AS churn_rate "
+        "named_query": _on(f"SELECT payment_method, COUNT(*) AS customers, {_CHURN_RATE} "
                            "FROM features GROUP BY payment_method"),
         "export_bundle": _on(" UNION ALL ".join([
-            "SELECT '02_churn_by_contract' AS sheet, contract AS segment, COUNT(*) AS n, "
+            "SELECT '01_kpis' AS sheet, 'all' AS segment, COUNT(CASE WHEN risk_flag = 'High Risk' THEN 1 END) AS n, "
+            f"{_CHURN_RATE} FROM features",
+            "SELECT '02_churn_by_contract', contract, COUNT(*), "
             f"{_CHURN_RATE} FROM features GROUP BY contract",
+            "SELECT '04_support_services_vs_churn', tech_support || '/' || online_security, COUNT(*), "
+            f"{_CHURN_RATE} FROM features GROUP BY tech_support, online_security",
+            "SELECT '05_action_segments_top20', contract || '/' || tenure_bucket || '/' || risk_flag, COUNT(*), "
+            f"{_CHURN_RATE} FROM features GROUP BY contract, tenure_bucket, risk_flag",
             "SELECT '03_churn_by_tenure_bucket', tenure_bucket, COUNT(*), "
             f"{_CHURN_RATE} FROM features GROUP BY tenure_bucket"])),
-        "high_risk_export": _on("SELECT account_id, contract, CAST(monthly_charges AS DOUBLE) AS monthly_charges, "
-                                "tenure, score FROM features WHERE score > 0.6 AND score <= 1.0"),
+        "high_risk_export": _on(f"SELECT {stored}, score, {flag}, {level} AS \"Risk_Level\" "
+                                "FROM features WHERE score > 0.6 AND score <= 1.0"),
         "clean_numeric": each("COALESCE(TRY_CAST(total_charges_text AS DOUBLE), 0)", "total"),
         "clean_numeric_keep_null": each("TRY_CAST(total_charges_text AS DOUBLE)", "total"),
         "label_strict": each("CASE WHEN churn_text = 'Yes' THEN 1 ELSE 0 END", "label"),
@@ -226,10 +245,10 @@ def _columns() -> dict[str, str]:
         "training_frame_join": _on(training),
         "sample_n": _on("SELECT account_id, tenure, contract FROM features "
                         "ORDER BY md5(account_id || ':42'), account_id LIMIT 1000"),
-        "scatter_points": _on("SELECT account_id, tenure, CAST(monthly_charges AS DOUBLE) AS monthly_charges, churned "
-                              "FROM features ORDER BY md5(account_id || ':42'), account_id LIMIT 5000"),
+        "scatter_points": _on("SELECT tenure, CAST(monthly_charges AS DOUBLE) AS monthly_charges, churned, "
+                              "COUNT(*) AS n FROM features GROUP BY ALL"),
         "top_risk": _on("SELECT account_id, contract, CAST(monthly_charges AS DOUBLE) AS monthly_charges, tenure, "
-                        "score FROM features ORDER BY score DESC, account_id LIMIT 20"),
+                        f"{flag}, {level} AS \"Risk_Level\", score FROM features ORDER BY score DESC, account_id LIMIT 20"),
         "customer_at_rank": _on("SELECT account_id, score FROM features ORDER BY score DESC, account_id "
                                 "LIMIT 1 OFFSET 7"),
     }
@@ -369,6 +388,9 @@ def _metrics() -> dict[str, str]:
           FROM (SELECT COUNT(*) FILTER (split = 'test' AND churned = 1 AND score < 0.35) AS fn,
             CAST(SUM(cents) AS HUGEINT) AS c, COUNT(*) AS n FROM sp)""", split),
         "stratified_split": _on("SELECT account_id, churned, split FROM sp", split),
+        "class_weight_train": _on("""SELECT COUNT(*) FILTER (churned = 0) AS neg, COUNT(*) FILTER (churned = 1) AS pos,
+            CAST(COUNT(*) FILTER (churned = 0) AS DOUBLE) / COUNT(*) FILTER (churned = 1) AS weight
+            FROM sp WHERE split = 'train'""", split),
         "stratified_folds": _on(f"SELECT account_id, churned, CAST(({rank} - 1) % 5 AS INT) AS fold FROM features"),
         "retention_kpis": _on(f"SELECT flagged, {money} FROM (SELECT COUNT(*) FILTER (score >= 0.35) AS flagged "
                               "FROM features)"),

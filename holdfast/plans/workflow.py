@@ -51,11 +51,16 @@ def findings(raw: DataFrame, roles: Roles = Roles()) -> dict[str, DataFrame]:
 
 def run_all(
     spark: SparkSession, csv_path: str, out_dir: str, roles: Roles = Roles(),
-    schema: T.StructType = CUSTOMER_SCHEMA, sample_size: int = 1000, drop: Sequence[str] = (), **params: object,
+    schema: T.StructType = CUSTOMER_SCHEMA, sample_size: int | None = None, drop: Sequence[str] = (), **params: object,
 ) -> training.Trained:
-    """Ingest, explore, train, explain and export; everything lands under ``out_dir``."""
-    cleaned = tables.clean_customers(tables.read_customers_csv(spark, csv_path, schema), roles)
-    raw = tables.write_table(cleaned.drop(tables.CORRUPT), f"{out_dir}/raw_data")
+    """Ingest, explore, train, explain and export; everything lands under ``out_dir``.
+
+    Rows of the file that do not fit its columns are kept apart, in ``raw_rejects``.  Drivers are ranked over all
+    customers, or over a sample of ``sample_size``.
+    """
+    read = tables.read_customers_csv(spark, csv_path, schema)
+    tables.write_table(tables.split_rejects(read)[1], f"{out_dir}/raw_rejects")
+    raw = tables.write_table(tables.clean_customers(tables.split_rejects(read)[0], roles), f"{out_dir}/raw_data")
     features = tables.write_table(tables.feature_table(raw, roles), f"{out_dir}/churn_features")
 
     exports.export_results(exploration(raw, features, roles), f"{out_dir}/exploration")
@@ -63,7 +68,9 @@ def run_all(
 
     trained = training.train(raw, roles, drop, path=f"{out_dir}/model", **params)
 
-    sample = sampling.sample_n(training.model_frame(raw, roles, drop), roles.id, sample_size)
+    sample = training.model_frame(raw, roles, drop)
+    if sample_size is not None:
+        sample = sampling.sample_n(sample, roles.id, sample_size)
     explainer = Explainer.of(spark, trained.model)
     drivers = explainer.global_drivers(sample)
     exports.export_drivers(drivers, f"{out_dir}/top5_drivers")

@@ -11,36 +11,22 @@ from holdfast.operators.campaign import high_risk_customers
 from holdfast.plans.presets import EXPORT_SHEETS, named_query
 from holdfast.schema import Roles
 
-SHEET_NAME_LENGTH = 31  # spreadsheet limit
-
-
 def export_results(results: Mapping[str, DataFrame], folder: str, fmt: str = "csv") -> dict[str, str]:
-    """Write each result under its (shortened) name; returns name -> path.
-
-    The results are aggregates of a few rows, hence one file each.
-    """
+    """Write each result under its name, one folder each; returns name -> path."""
     if fmt not in ("csv", "parquet"):
         raise ValueError("fmt must be 'csv' or 'parquet'")
-    paths = {}
+    paths = {name: f"{folder}/{name}" for name in results}
     for name, df in results.items():
-        short = name[:SHEET_NAME_LENGTH]
-        if short in paths:
-            raise ValueError(f"two results share the name {short!r}")
-        paths[short] = f"{folder}/{short}"
-        writer = df.coalesce(1).write.mode("overwrite")
-        writer.option("header", True).csv(paths[short]) if fmt == "csv" else writer.parquet(paths[short])
+        writer = df.write.mode("overwrite")
+        writer.option("header", True).csv(paths[name]) if fmt == "csv" else writer.parquet(paths[name])
     return paths
 
 
 def export_dashboard(features: DataFrame, folder: str, roles: Roles = Roles(), fmt: str = "csv") -> dict[str, str]:
-    """The five dashboard tables.  Their one common input is cached while they are written."""
-    features = features.persist()
-    try:
-        return export_results(
-            {sheet: named_query(name, features, roles) for sheet, name in EXPORT_SHEETS.items()}, folder, fmt
-        )
-    finally:
-        features.unpersist()
+    """The five dashboard tables, each from its own scan of the columns it needs."""
+    return export_results(
+        {sheet: named_query(name, features, roles) for sheet, name in EXPORT_SHEETS.items()}, folder, fmt
+    )
 
 
 def read_export(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
@@ -58,5 +44,5 @@ def export_drivers(drivers: DataFrame, path: str, k: int = 5) -> None:
     (
         drivers.orderBy(F.desc("mean_abs"), "feature").limit(k)
         .select("feature", F.format_string("%.6f", F.col("mean_abs")).alias("value"))
-        .coalesce(1).write.mode("overwrite").option("sep", "\t").csv(path)
+        .write.mode("overwrite").option("sep", "\t").csv(path)
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Mapping
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,24 +16,43 @@ from holdfast.schema import CUSTOMER_SCHEMA, Roles
 from holdfast.sources.storage import path_exists
 
 CORRUPT = "_corrupt_record"
+_SQL_PIECE = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/|;|[^'"`;/-]+|.""", re.S)
 
 
 def read_customers_csv(
-    spark: SparkSession, path: str, schema: T.StructType = CUSTOMER_SCHEMA
+    spark: SparkSession, path: str, schema: T.StructType = CUSTOMER_SCHEMA,
+    more: Mapping[str, T.DataType] | None = None,
 ) -> DataFrame:
-    """A CSV file with a header, read with a fixed schema; no inference pass.
+    """A CSV file with a header, its columns found by name; no inference pass.
 
-    Rows that do not fit are kept, with their text in ``_corrupt_record``.
+    The columns of ``schema`` come first, in its order, then all others of the file, as text or as the type that ``more``
+    gives.  Columns that the file lacks are named in the error, and so is a file of the folder whose header differs.
+    Rows that do not fit are kept, with their text in ``_corrupt_record`` (see ``split_rejects``).
     """
-    return (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+    # the header line alone: all columns as text
+    names = spark.read.option("header", True).csv(path).columns
+    missing = [c for c in schema.fieldNames() if c not in names]
+    if missing:
+        raise ValueError("missing required columns: " + ", ".join(missing))
+    types = {f.name: f.dataType for f in schema.fields}
+    kinds = {n: types.get(n) or (more or {}).get(n) or T.StringType() for n in names}
+    found = (
+        spark.read.schema(T.StructType([T.StructField(n, k) for n, k in [*kinds.items(), (CORRUPT, T.StringType())]]))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
+    own = set(types)
+    return found.select(*(f"`{c}`" for c in [*types, *(n for n in names if n not in own), CORRUPT]))
+
+
+def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit, rows that do not) of ``read_customers_csv``; the first without the column of the reader."""
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull())
 
 
 def clean_customers(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
@@ -90,6 +110,22 @@ def register_views(
 
 
 def run_sql(spark: SparkSession, sql: str | Path) -> DataFrame:
-    """Run one query, given as text or as a file that holds it."""
+    """Run the statements of a text or a file one after another; returns the last one's result."""
     text = sql.read_text(encoding="utf-8") if isinstance(sql, Path) else sql
-    return spark.sql(text.strip().rstrip(";"))
+    done = [spark.sql(s) for s in statements(text)]
+    if not done:
+        raise ValueError("no statement")
+    return done[-1]
+
+
+def statements(text: str) -> list[str]:
+    """A script's statements: cut at semicolons outside strings, names in backticks and comments."""
+    parts = [""]
+    for piece in _SQL_PIECE.findall(text):
+        if piece == ";":
+            parts.append("")
+        elif not piece.startswith(("--", "/*")):
+            parts[-1] += piece
+        else:
+            parts[-1] += " "
+    return [s.strip() for s in parts if s.strip()]

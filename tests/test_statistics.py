@@ -239,7 +239,8 @@ def test_campaign_with_ties_and_small_tables(spark):
 
 def test_rank_outside_the_pool(spark, customers):
     with pytest.raises(ValueError):
-        campaign.customer_at_rank(customers, "score", "account_id", 300)
+        campaign.customer_at_rank(customers, "score", "account_id", 300, pool=300)
+    assert campaign.customer_at_rank(customers, "score", "account_id", 300).count() == 1
 
 
 def test_sweep_has_all_thresholds_even_without_rows(spark):
