@@ -21,6 +21,7 @@ other's text; texts shorter than a window stay; matches never cross documents; t
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -111,7 +112,7 @@ class _Pack:
         """
         state = told[np.searchsorted(self.keys()[0], self.key)] if len(self.key) else np.zeros(0, np.uint8)
         found: dict[tuple[int, bytes], int] = {}
-        seen, owner = [], []
+        seen, owner = [array("i") for _ in range(4)], []
         more = self.size - 1
         for i in np.flatnonzero(state).tolist():
             t, s, n = int(self.text[i]), int(self.start[i]), int(self.windows[i])
@@ -127,12 +128,13 @@ class _Pack:
                     owner.append(d)
                 elif d < owner[k]:
                     owner[k] = d
-                seen.append((t, a, m, k))
+                for column, value in zip(seen, (t, a, m, k), strict=True):
+                    column.append(value)
         contents = sorted(found)
-        place = np.empty(len(contents), np.int64)
+        place = np.empty(len(contents), np.int32)
         place[[found[c] for c in contents]] = np.arange(len(contents))
-        at = np.array(seen, np.int64).reshape(-1, 4)
-        at[:, 3] = place[at[:, 3]]
+        at = [np.frombuffer(x, np.int32) for x in seen]
+        at[3] = place[at[3]]
         owners = np.empty(len(contents), np.int64)
         owners[place] = np.array(owner, np.int64)
         return at, contents, owners
@@ -212,13 +214,14 @@ def owners_of_windows(contents: list[bytes], owner: np.ndarray, size: int) -> li
     ends = np.zeros(len(text), bool)
     ends[starts + lengths] = True
     present = np.flatnonzero(np.bincount(text[~ends], minlength=256))
-    code = np.zeros(256, np.int64)
+    code = np.zeros(256, np.uint8 if len(present) < 253 else np.uint16)
     code[present] = np.arange(len(present)) + 2  # 0 ends the text, 1 ends a piece
-    t = np.append(np.where(ends, 1, code[text]), 0).astype(np.uint8 if len(present) < 253 else np.uint16)
+    t = np.append(code[text], code.dtype.type(0))
+    t[:-1][ends] = 1
     windows = lengths - size + 1
     sa = suffix_array(t)
     same = common_prefixes(t, sa, starts, windows, size)
-    piece = np.full(len(t), -1, np.int64)
+    piece = np.full(len(t), -1, np.int32)
     at = np.repeat(starts, windows) + np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     piece[at] = np.repeat(np.arange(len(contents)), windows)
     order = sa[piece[sa] >= 0]
@@ -279,13 +282,13 @@ def _cleaned(ranges: int, shards: int, size: int, kind: pa.DataType, rest: pa.Da
         base = np.cumsum(length + 1) - (length + 1)
         edge = np.zeros(int((length + 1).sum()) + 1, np.int32)
         ids = np.array([d for d, _ in p.texts], np.int64)
-        if len(at):
-            whole = ids[at[:, 0]] > owners[at[:, 3]]  # an earlier document of this pack has the same piece
-            n = at[:, 2]
-            rows = np.repeat(np.arange(len(at)), n)
+        for i in range(0, len(at[0]), CHUNK):
+            text, start, n, content = (x[i : i + CHUNK] for x in at)
+            whole = ids[text] > owners[content]  # an earlier document of this pack has the same piece
+            rows = np.repeat(np.arange(len(n)), n)
             step = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
-            gone = whole[rows] | bits[first[at[rows, 3]] + step]
-            where = (base[at[rows, 0]] + at[rows, 1] + step)[gone]
+            gone = whole[rows] | bits[first[content[rows]] + step]
+            where = (base[text[rows]] + start[rows] + step)[gone]
             np.add.at(edge, where, 1)
             np.add.at(edge, where + size, -1)
         cut = np.cumsum(edge) > 0
@@ -324,7 +327,7 @@ def _plan(docs: DataFrame, id_col: str, text_col: str, size: int, keep: bool) ->
     by = lambda df: df.groupBy("pack")
     hashes = by(lean).cogroup(by(copies)).applyInArrow(_hashes(n, size), SENT_SQL)
     known = hashes.repartition(n, "bucket").groupBy("bucket").applyInArrow(_judged, TOLD)
-    shards = 2 * n
+    shards = 4 * n
     pieces = by(lean).cogroup(by(copies.unionByName(known))).applyInArrow(_cut_out(n, shards, size), SENT_SQL)
     owners = pieces.repartition(shards, "bucket").groupBy("bucket").applyInArrow(_sorted_shard(size), TOLD)
     kinds = texts.limit(0).select("id", *(["rest"] if keep else [])).toArrow().schema

@@ -17,7 +17,7 @@ def _types(t: np.ndarray) -> np.ndarray:
     n = len(t)
     out = np.ones(n, bool)
     if n > 1:
-        at = np.where(t[:-1] == t[1:], n, np.arange(n - 1))
+        at = np.where(t[:-1] == t[1:], np.int32(n), np.arange(n - 1, dtype=np.int32))
         decides = np.minimum.accumulate(at[::-1])[::-1]
         out[:-1] = (t[:-1] < t[1:])[np.minimum(decides, n - 2)]
     return out
@@ -27,7 +27,7 @@ def _induced(t: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarra
     """Suffix array from LMS suffixes in their order (each bucket's in its order)."""
     ends = np.cumsum(sizes)
     heads, tails = ends - sizes, ends.copy()
-    sa = np.full(len(t), -1, np.int64)
+    sa = np.full(len(t), -1, np.int32)
     marks = t[lms]
     own = np.bincount(marks, minlength=len(sizes))
     first = np.cumsum(own) - own
@@ -74,7 +74,7 @@ def _induced(t: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarra
 
 def _names(t: np.ndarray, ordered: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Names of LMS substrings (by text position) from their sorted order."""
-    length = np.empty(len(t), np.int64)
+    length = np.empty(len(t), np.int32)
     length[lms] = np.append(np.diff(lms), 0) + 1
     a, b = ordered[:-1], ordered[1:]
     same = np.flatnonzero(length[a] == length[b])
@@ -86,14 +86,14 @@ def _names(t: np.ndarray, ordered: np.ndarray, lms: np.ndarray) -> np.ndarray:
         done = length[a[same]] <= k
         equal[same[done]] = True
         same = same[~done]
-    name = np.empty(len(t), np.int64)
+    name = np.empty(len(t), np.int32)
     name[ordered] = np.concatenate([[0], np.cumsum(~equal)])
     return name[lms]
 
 
 def _sorted_names(name: np.ndarray) -> np.ndarray:
     """Order of the suffixes of a string of names, whose last is the smallest and unique."""
-    rank, n, step = name.copy(), len(name), 1
+    rank, n, step = name.astype(np.int64), len(name), 1
     order = np.argsort(rank, kind="stable")
     # only groups of equal rank are sorted on; every round doubles the names compared
     tied = _tied(rank, order)
@@ -126,9 +126,9 @@ def _tied(rank: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
-    """Sorted suffixes of small unsigned symbols; the last symbol must be the smallest and unique."""
+    """Sorted suffixes of up to 2^31 small unsigned symbols; the last symbol must be the smallest and unique."""
     small = _types(t)
-    lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    lms = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(np.int32)
     sizes = np.bincount(t)
     if len(lms) < 2:
         return _induced(t, small, lms, sizes) if len(t) > 1 else np.zeros(1, np.int64)
@@ -147,9 +147,9 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray, starts: np.ndarray, windows:
     window to the next loses one symbol at most, so each step begins where the last one ended. All pieces go side by side.
     Returns values by text position (0 where no window stands).
     """
-    before = np.full(len(t), len(t) - 1, np.int64)
+    before = np.full(len(t), len(t) - 1, np.int32)
     before[sa[1:]] = sa[:-1]
-    out = np.zeros(len(t), np.int64)
+    out = np.zeros(len(t), np.int16)
     h = np.zeros(len(starts), np.int64)
     order = np.argsort(-windows, kind="stable")
     starts, windows = starts[order], windows[order]
