@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.rules import DECISION_THRESHOLD, decision_flag
-from holdfast.operators.scan import probability_cells, running_totals
+from holdfast.operators.scan import running_totals
 
 # Default revenue per customer and month, offer cost, campaign size and acceptance.
 AVG_MONTHLY = 65.0
@@ -88,7 +88,7 @@ def campaign_grid(
         df.where(F.col(score).isNotNull())
         .groupBy(F.col(score).cast("double").alias("s")).agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_totals(groups, ["s"], probability_cells(F.col("s")), {"n": "sum"}, descending=True)
+    ranked = running_totals(groups, ["s"], None, {"n": "sum"}, descending=True)
     before = F.col("cum_n") - F.col("n")
     wanted = F.array(*[F.lit(int(n)).cast("bigint") for n in sizes])
     per_size = (

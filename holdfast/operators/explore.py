@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.operators.sampling import SEED, sample_n
-from holdfast.operators.scan import log_cells, running_totals
+from holdfast.operators.scan import running_totals
 
 
 # exp(-REACH^2 / 2) is below 2^-53, the precision of a double.
@@ -128,7 +128,7 @@ def box_stats(df: DataFrame, label: str, measure: str) -> DataFrame:
     """
     values = _stack(df, label, [measure]).select("label", "value", "w")
     ranked = running_totals(
-        values, ["value"], _signed_cells(F.col("value")), {"w": "sum"}, keys=["label"]
+        values, ["value"], None, {"w": "sum"}, keys=["label"]
     )
     placed = ranked.withColumnRenamed("all_w", "n").withColumn("before", F.col("cum_w") - F.col("w"))
 
@@ -162,8 +162,3 @@ def box_stats(df: DataFrame, label: str, measure: str) -> DataFrame:
                                 ("q1", "median", "q3", "whisker_lo", "whisker_hi")], "outliers")
         .orderBy("label")
     )
-
-
-def _signed_cells(col: Column) -> Column:
-    """log_cells for values of either sign: the negative side runs backwards."""
-    return F.when(col < 0, -1 - log_cells(-col)).otherwise(log_cells(col))

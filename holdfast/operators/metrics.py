@@ -1,9 +1,8 @@
 """Exact quality measures of a score against a 0/1 label.
 
 The table first collapses to one row per distinct score; ranking measures then
-need only running totals over those (see ``scan``).  Scores are expected to be
-probabilities; for others pass ascending ``bounds`` (as from ``approxQuantile``),
-which keep the work even and do not change the result.
+need only running totals over those (see ``scan``).  Work is cut at quantiles of the scores, or at
+ascending ``bounds`` that a caller knows; neither changes the result.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.exact import cents, div_half_up, hundredths, mean_money, money
 from holdfast.functions.rules import DECISION_THRESHOLD, decision_flag
-from holdfast.operators.scan import bounded_cells, probability_cells, running_totals
+from holdfast.operators.scan import bounded_cells, running_totals
 
 
 def _ranked(df: DataFrame, score: str, label: str, bounds: Sequence[float] | None = None) -> DataFrame:
@@ -25,8 +24,7 @@ def _ranked(df: DataFrame, score: str, label: str, bounds: Sequence[float] | Non
         .groupBy(F.col(score).cast("double").alias("s"))
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
     )
-    s = F.col("s")
-    cell = probability_cells(s) if bounds is None else bounded_cells(s, bounds)
+    cell = None if bounds is None else bounded_cells(F.col("s"), bounds)
     return running_totals(groups, ["s"], cell, {"pos": "sum", "neg": "sum"}, descending=True)
 
 

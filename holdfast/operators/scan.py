@@ -12,7 +12,6 @@ the two sides need the same columns and Spark shuffles that table only once.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,30 +29,20 @@ def even_cells(col: Column, lo: float, hi: float, n: int = CELLS) -> Column:
     return F.coalesce(F.least(F.greatest(at, F.lit(0)), F.lit(n - 1)), F.lit(-1)).cast("int")
 
 
-def log_cells(col: Column, per_doubling: int = 32) -> Column:
-    """Cells of constant relative width for non-negative values of unknown range."""
-    at = F.floor(F.log(F.greatest(col.cast("double"), F.lit(0.0)) + 1.0) * F.lit(per_doubling / math.log(2)))
-    return F.coalesce(at, F.lit(-1)).cast("int")
+def bounded_cells(col: Column, bounds: Sequence[float]) -> Column:
+    """Cells cut at ascending bounds, for example those of ``DataFrame.approxQuantile``."""
+    return F.coalesce(sum((F.when(col >= F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0)), F.lit(0))
 
 
-def probability_cells(col: Column, per_doubling: int = 128) -> Column:
-    """Cells for scores in [0, 1], fine near both ends, where scores of rare or sure events crowd.
+def with_quantile_cells(df: DataFrame, column: str, name: str, n: int = 256) -> DataFrame:
+    """Add cells that hold about equally many rows each, whatever the values: cut at approximate quantiles.
 
-    The width is a constant share of the distance to the nearer end; values outside
-    join the first or last cell.
+    The quantiles are one row, found in the same query; rows of one value share a cell.
     """
-    score, tiny = col.cast("double"), F.lit(2.0 ** -40)
-
-    def octaves(distance: Column) -> Column:
-        return F.log(F.least(F.greatest(distance, tiny) * 2, F.lit(1.0))) * F.lit(per_doubling / math.log(2))
-
-    at = F.when(score < 0.5, F.floor(octaves(score))).otherwise(F.floor(-octaves(1 - score)))
-    return F.coalesce(at, F.lit(0)).cast("int")
-
-
-def bounded_cells(col: Column, bounds: Sequence[float]) -> Column:
-    """Cells cut at ascending bounds, for example those of ``DataFrame.approxQuantile``."""
-    return F.coalesce(sum((F.when(col >= F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0)), F.lit(0))
+    value = F.col(column).cast("double")
+    bounds = df.agg(F.percentile_approx(value, [i / n for i in range(1, n)], 20 * n)).scalar()
+    at = F.coalesce(F.size(F.filter("__bounds", lambda b: b <= value)), F.lit(-1))
+    return df.withColumn("__bounds", bounds).withColumn(name, at).drop("__bounds")
 
 
 def hash_cells(hexdigest: Column, digits: int = 3) -> Column:
@@ -64,7 +53,7 @@ def hash_cells(hexdigest: Column, digits: int = 3) -> Column:
 def running_totals(
     df: DataFrame,
     order: Sequence[str],
-    cell: Column,
+    cell: Column | None,
     totals: Mapping[str, str],
     keys: Sequence[str] = (),
     descending: bool = False,
@@ -72,10 +61,11 @@ def running_totals(
     """Add ``cum_<c>`` and ``all_<c>`` for each column of ``totals`` (column -> 'sum' or 'product').
 
     ``cum_`` is the running value, the row itself included; ``all_`` that of the
-    whole group.  ``keys`` must not be NULL and ``order`` must be unique within
+    whole group.  Without ``cell`` the work is cut at quantiles of the first column
+    of ``order``.  ``keys`` must not be NULL and ``order`` must be unique within
     them.  ``descending`` runs from the largest value down.
     """
-    df = df.withColumn("__cell", cell)
+    df = with_quantile_cells(df, order[0], "__cell") if cell is None else df.withColumn("__cell", cell)
     way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     inside = (
         Window.partitionBy(*keys, "__cell").orderBy(*[way(c) for c in order])

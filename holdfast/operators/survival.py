@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.clean import observed_months
-from holdfast.operators.scan import log_cells, running_totals
+from holdfast.operators.scan import running_totals
 
 # A survival of exactly one half must count as reached whatever the last bit says.
 _HALF = 0.5 + 1e-12
@@ -27,7 +27,7 @@ def _curve(df: DataFrame, stratum: str, duration: str, event: str) -> DataFrame:
     # The total of d is read as well, so that both sides of the scan need the same
     # columns and Spark shuffles the table once for the two of them.
     at_risk = running_totals(
-        times, ["t"], log_cells(F.col("t")), {"n": "sum", "d": "sum"}, keys=["stratum"], descending=True
+        times, ["t"], None, {"n": "sum", "d": "sum"}, keys=["stratum"], descending=True
     ).where(F.col("all_d") >= 0)
     none = F.lit(0).cast("bigint")
 
@@ -41,7 +41,7 @@ def _curve(df: DataFrame, stratum: str, duration: str, event: str) -> DataFrame:
         "stratum", F.explode(F.array_compact(F.array(start, step))).alias("p")
     ).select("stratum", "p.*")
     return running_totals(
-        points, ["t"], log_cells(F.col("t")), {"keep": "product"}, keys=["stratum"]
+        points, ["t"], None, {"keep": "product"}, keys=["stratum"]
     ).select("stratum", "t", "n_at_risk", "d", F.col("cum_keep").alias("survival"))
 
 

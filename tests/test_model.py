@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from holdfast.operators import scoring, training
-from holdfast.operators.attribution import LOG_ODDS, Explainer, LeafRules, _attribute
+from holdfast.operators.attribution import LOG_ODDS, Explainer, LeafRules, _attribute, _groups
 from holdfast.plans import catalog
 from holdfast.plans.catalog import ROLES
 from holdfast.sources.accounts import NOT_FEATURES
@@ -113,8 +113,7 @@ def test_attribution_equals_the_definition(depth):
     high = np.where(np.isinf(low), rng.random((rules, depth)), np.inf)
     made = LeafRules(rng.normal(size=rules), picked, low, high, rng.random((rules, depth)) * 0.9)
     x = rng.random((5, features))
-    scatter = [np.eye(features)[picked[:, k]] for k in range(depth)]
-    got = _attribute(x, made, scatter)
+    got = _attribute(x, made, _groups(picked), features)
     for row, phi in zip(x, got):
         assert phi == pytest.approx(brute_shapley(row, made, features), abs=1e-12)
 

@@ -111,7 +111,7 @@ def test_running_totals_do_not_depend_on_cells_or_partitions(spark, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
         df = frame(spark, rows, "k string, v int, w int")
-        for cell in (F.lit(0), scan.log_cells(F.col("v")), scan.even_cells(F.col("v"), 100, 300, 7),
+        for cell in (F.lit(0), None, scan.even_cells(F.col("v"), 100, 300, 7),
                      scan.bounded_cells(F.col("v"), [10, 500, 900])):
             out = scan.running_totals(df, ["v"], cell, {"w": "sum"}, keys=["k"]).collect()
             assert {(r["k"], r["v"]): r["cum_w"] for r in out} == expected
@@ -123,15 +123,22 @@ def test_running_totals_do_not_depend_on_cells_or_partitions(spark, partitions):
 def test_cells_never_decrease(spark):
     values = [-1.0, 0.0, 1e-15, 1e-9, 0.001, 0.0010001, 0.3, 0.499999, 0.5, 0.500001, 0.7, 0.999, 1 - 1e-9, 1.0, 7.0]
     df = spark.createDataFrame([(v,) for v in values], "v double").orderBy("v")
-    for cell in (scan.probability_cells(F.col("v")), scan.even_cells(F.col("v"), 0, 1), explore._signed_cells(F.col("v"))):
-        cells = [r[0] for r in df.select(cell).collect()]
+    for cut in (scan.with_quantile_cells(df, "v", "c"), df.withColumn("c", scan.even_cells(F.col("v"), 0, 1))):
+        cells = [r[0] for r in cut.orderBy("v").select("c").collect()]
         assert cells == sorted(cells) and len(set(cells)) > 5
 
 
+@pytest.mark.parametrize(("lo", "hi"), [(1000.0, 1001.0), (0.300, 0.301), (-5e9, 5e-9)])
+def test_cells_are_even_for_any_range(spark, lo, hi):
+    df = spark.range(200_000).select((F.lit(lo) + F.col("id") / 200_000 * (hi - lo)).alias("v"))
+    sizes = [r["count"] for r in scan.with_quantile_cells(df, "v", "c").groupBy("c").count().collect()]
+    assert len(sizes) > 200 and max(sizes) < 4 * 200_000 / 256
+
+
 def test_running_totals_of_one_hot_key(spark):
     rows = [("hot", i, 1) for i in range(300)] + [("cold", 1, 1)]
-    out = scan.running_totals(frame(spark, rows, "k string, v int, w int"), ["v"],
-                              scan.log_cells(F.col("v")), {"w": "sum"}, keys=["k"], descending=True)
+    df = frame(spark, rows, "k string, v int, w int")
+    out = scan.running_totals(df, ["v"], None, {"w": "sum"}, keys=["k"], descending=True)
     got = {(r["k"], r["v"]): r["cum_w"] for r in out.collect()}
     assert got == {**{("hot", i): 300 - i for i in range(300)}, ("cold", 1): 1}
 
