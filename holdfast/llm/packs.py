@@ -45,6 +45,23 @@ def by_range(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
         yield int(place[a]), slice(a, b)
 
 
+def shortened(keys: np.ndarray) -> bytes:
+    """Sorted unsigned keys as their first one and the steps between them, in as many bytes as the longest step takes."""
+    steps = np.diff(keys)
+    width = max(1, -(-int(steps.max(initial=0)).bit_length() // 8))
+    return keys[:1].tobytes() + bytes([width]) + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def lengthened(raw: bytes) -> np.ndarray:
+    """The keys of `shortened`."""
+    width = raw[8]
+    n = (len(raw) - 9) // width
+    out = np.zeros((n + 1, 8), np.uint8)
+    out[0] = np.frombuffer(raw, np.uint8, 8)
+    out[1:, :width] = np.frombuffer(raw, np.uint8, n * width, 9).reshape(-1, width)
+    return np.cumsum(out.view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads unsigned 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.packs import by_range, dealt, mix
+from holdfast.llm.packs import by_range, dealt, lengthened, mix, shortened
 
 START, END = b" start", b" end"  # no word has a space
 FOLDS, HELD_OUT = 7, 2
@@ -84,7 +84,7 @@ def _sent(ranges: int):
         rows: dict[int, list[bytes]] = defaultdict(lambda: [b"", b"", b"", b""])
         for at, (keys, n) in enumerate(zip((p.uni, p.bi), p.counts(), strict=True)):
             for bucket, s in by_range(keys, ranges):
-                rows[bucket][2 * at : 2 * at + 2] = [keys[s].tobytes(), n[s].astype(np.uint32).tobytes()]
+                rows[bucket][2 * at : 2 * at + 2] = [shortened(keys[s]), n[s].astype(np.uint32).tobytes()]
         pack = table.column("pack")[0].as_py()
         cols = [pa.array(list(rows), pa.int32()), pa.array([pack] * len(rows), pa.int32())]
         cols += [pa.array([r[i] for r in rows.values()], pa.binary()) for i in range(4)]
@@ -98,7 +98,7 @@ def _added(table: pa.Table) -> pa.Table:
     answers, tokens, types = [], 0, 0
     start = np.uint64(xxhash.xxh64_intdigest(START))
     for name in ("uni", "bi"):
-        keys = [np.frombuffer(x.as_py(), np.uint64) for x in table.column(name)]
+        keys = [lengthened(x.as_py()) if len(x.as_py()) else np.zeros(0, np.uint64) for x in table.column(name)]
         n = [np.frombuffer(x.as_py(), np.uint32) for x in table.column(f"{name}_n")]
         distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, np.concatenate(n), minlength=len(distinct)).astype(np.int64)
