@@ -34,6 +34,7 @@ from holdfast.llm.packs import by_range, dealt, mix
 from holdfast.llm.suffixes import common_prefixes, suffix_array
 
 GRAM, PIECE, CHUNK, HOT = 16, 64, 1 << 18, 1000
+PACK = 6 << 20
 LAST = (1 << 63) - 1
 TOLD = "pack int, kind int, bucket int, ids array<bigint>, told binary"
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -316,10 +317,12 @@ def _cleaned(ranges: int, shards: int, size: int, kind: pa.DataType, rest: pa.Da
 def _plan(docs: DataFrame, id_col: str, text_col: str, size: int, keep: bool) -> DataFrame:
     if not GRAM <= size <= 512 or docs.schema[id_col].dataType.simpleString() not in ("bigint", "int", "smallint", "tinyint"):
         raise ValueError("size must be 16 to 512 and the identifier an integer")
-    texts, n = dealt(docs.withColumn(id_col, F.col(f"`{id_col}`").cast("bigint")), id_col, text_col, keep=keep)
+    texts, n = dealt(docs.withColumn(id_col, F.col(f"`{id_col}`").cast("bigint")), id_col, text_col, PACK, keep)
     lean = texts.select("pack", "id", "raw")
     # copies of a smaller document, by pack
-    prints = texts.select("pack", F.coalesce("id", F.lit(LAST)).alias("id"), F.unhex(F.sha2("raw", 256)).alias("print"))
+    # never NULL, or else the join's filter for that would go below the shuffle of the texts and make it a second one
+    print_ = F.coalesce(F.unhex(F.sha2("raw", 256)), F.lit(bytearray()))
+    prints = texts.select("pack", F.coalesce("id", F.lit(LAST)).alias("id"), print_.alias("print"))
     first = prints.groupBy("print").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
     copies = prints.join(first, "print").filter("id > first").groupBy("pack").agg(F.collect_set("id").alias("ids"))
     none = lambda kind: [F.lit(kind).alias("kind"), F.lit(-1).alias("bucket")]
@@ -327,7 +330,7 @@ def _plan(docs: DataFrame, id_col: str, text_col: str, size: int, keep: bool) ->
     by = lambda df: df.groupBy("pack")
     hashes = by(lean).cogroup(by(copies)).applyInArrow(_hashes(n, size), SENT_SQL)
     known = hashes.repartition(n, "bucket").groupBy("bucket").applyInArrow(_judged, TOLD)
-    shards = 4 * n
+    shards = 2 * n
     pieces = by(lean).cogroup(by(copies.unionByName(known))).applyInArrow(_cut_out(n, shards, size), SENT_SQL)
     owners = pieces.repartition(shards, "bucket").groupBy("bucket").applyInArrow(_sorted_shard(size), TOLD)
     kinds = texts.limit(0).select("id", *(["rest"] if keep else [])).toArrow().schema
