@@ -36,6 +36,7 @@ def docs(spark):
 @pytest.fixture
 def small_packs(monkeypatch):
     monkeypatch.setattr(packs.dealt, "__defaults__", (100_000, False))
+    monkeypatch.setattr(passages, "PACK", 100_000)
 
 
 def _texts(docs):
