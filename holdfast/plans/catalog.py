@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -386,8 +386,70 @@ def _explained(build: Callable[[Explainer, DataFrame], DataFrame]) -> Query:
 
 
 def _shap_points(ex: Explainer, df: DataFrame) -> DataFrame:
-    top = [r["feature"] for r in ex.global_drivers(df, 20).collect()]  # twenty rows
-    return ex.points(df, "account_id", top)
+    top = ex.global_drivers(df, 20).select("feature")
+    return ex.points(df, "account_id", ex.names()).join(F.broadcast(top), "feature", "left_semi")  # twenty rows
+
+
+def _checked(df: DataFrame, n: Column, wrong: Column) -> DataFrame:
+    return df.agg(n.cast("bigint").alias("n"), F.count_if(F.coalesce(wrong, F.lit(True))).alias("mismatches"))
+
+
+def _global_check(ex: Explainer, df: DataFrame) -> DataFrame:
+    """Global drivers against the means of all values."""
+    means = ex.values(df, "account_id").groupBy("feature").agg(
+        F.avg(F.abs("phi")).alias("mean"), F.count(F.lit(1)).alias("rows"))
+    both = means.join(ex.global_drivers(df), "feature", "full")
+    return _checked(both, F.max("rows"), F.abs(F.col("mean") - F.col("mean_abs")) > 1e-9)
+
+
+def _customer_check(ex: Explainer, df: DataFrame) -> DataFrame:
+    """Each customer's five drivers against a ranking of all values."""
+    order = Window.partitionBy("account_id").orderBy(F.desc(F.abs("phi")), "feature")
+    ranked = ex.values(df, "account_id").withColumn("rank", F.row_number().over(order)).where("rank <= 5")
+    told = ex.customer_drivers(df, "account_id").select("account_id", "rank", F.col("feature").alias("f"), F.col("phi").alias("p"))
+    both = ranked.join(told, ["account_id", "rank"], "full")
+    return _checked(both, F.count_if(F.col("rank") == 1), (F.col("feature") != F.col("f")) | (F.abs(F.col("phi") - F.col("p")) > 1e-12))
+
+
+def _points_check(ex: Explainer, df: DataFrame) -> DataFrame:
+    """Points against the values and the features they belong to."""
+    name = ex.names()[0]
+    x = ex.arrays(df, "account_id").select("account_id", F.col("x")[0].alias("x"), F.col("phi")[0].alias("p"))
+    both = ex.points(df, "account_id", [name]).join(x, "account_id", "full")
+    return _checked(both, F.count(F.lit(1)), (F.col("value") != F.col("x")) | (F.col("phi") != F.col("p")) | (F.col("feature") != name))
+
+
+def _score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of raw rows against those of the training frame; range, flag and level of each."""
+    model = fitted(spark, sf_dir).model
+    told = scoring.score(raw_customers(spark, sf_dir), model, ROLES).select(
+        "account_id", F.col(scoring.SCORE).alias("p"), F.col(scoring.FLAG).alias("flag"), F.col(scoring.LEVEL).alias("level"))
+    again = training.probabilities(_frame(spark, sf_dir), model, "q").select("account_id", "q")
+    p = F.col("p")
+    level = F.when(p <= 0.3, "Low").when(p <= 0.6, "Medium").otherwise("High")
+    wrong = (F.abs(p - F.col("q")) > 1e-12) | ~p.between(0, 1) | ((F.col("flag") == 1) != (p >= 0.35)) | (F.col("level") != level)
+    return _checked(told.join(again, "account_id", "full"), F.count(F.lit(1)), wrong)
+
+
+def _train_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trained model is better than chance by far: a floor of its exact ROC-AUC."""
+    fair = fitted(spark, sf_dir).metrics["roc_auc"] > 0.65
+    return _checked(customers(spark, sf_dir), F.count(F.lit(1)), F.lit(not fair))
+
+
+def _driver_export_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver file read back against the first five drivers."""
+    ex, df = Explainer.of(spark, fitted(spark, sf_dir).model), _frame(spark, sf_dir)
+    wanted = ex.global_drivers(df, 5).select("feature", F.format_string("%.6f", "mean_abs").alias("want"))
+    both = _driver_export(spark, sf_dir).join(wanted, "feature", "full")
+    return _checked(both, F.count(F.lit(1)), F.col("mean_abs") != F.col("want"))
+
+
+def _rank_drivers(ex: Explainer, df: DataFrame) -> DataFrame:
+    """The five drivers of the customer at rank 7 of the model's scores."""
+    scored = training.probabilities(df, ex.model).select("account_id", "score")
+    one = campaign.customer_at_rank(scored, "score", "account_id", 7)
+    return ex.customer_drivers(df.join(F.broadcast(one.select("account_id")), "account_id", "left_semi"), "account_id")
 
 
 def _driver_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,6 +480,13 @@ def _model() -> dict[str, Query]:
         "customer_drivers": _explained(lambda ex, df: ex.customer_drivers(df, "account_id")),
         "shap_points": _explained(_shap_points),
         "driver_export": _driver_export,
+        "rank_drivers": _explained(_rank_drivers),
+        "global_drivers_check": _explained(_global_check),
+        "customer_drivers_check": _explained(_customer_check),
+        "shap_points_check": _explained(_points_check),
+        "score_check": _score_check,
+        "train_check": _train_check,
+        "driver_export_check": _driver_export_check,
     }
 
 

@@ -10,7 +10,7 @@ QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 # Results that SQL cannot state; each has a test of its own elsewhere.
 ROWS_ONLY = {
     "chi2_pvalues", "score", "train", "tune", "cv_report", "driver_export", "shap_values",
-    "global_drivers", "customer_drivers", "shap_points",
+    "global_drivers", "customer_drivers", "shap_points", "rank_drivers",
 }
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
 

@@ -127,7 +127,7 @@ def test_member_filter(spark, customers):
 
 # Results of bounded size that the library itself reads: model parameters, one-row
 # metrics, category lists and tree nodes.
-READS = {"operators/training.py": 5, "operators/attribution.py": 1, "plans/catalog.py": 1}
+READS = {"operators/training.py": 5, "operators/attribution.py": 1}
 
 
 def test_no_rows_through_the_driver():
