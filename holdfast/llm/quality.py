@@ -34,7 +34,7 @@ class Rule:
 RULES = (
     Rule("few_words", ("n_words",), lambda n: n < 50),
     Rule("repeated_words", ("n_words", "n_repeat_words"), lambda n, r: 100 * r > 50 * n),
-    Rule("symbols", ("word_chars", "n_symbols"), lambda c, s: 100 * s > 15 * c),
+    Rule("symbols", ("word_chars", "n_symbols"), lambda c, s: 100 * s > 8 * c),
     Rule("duplicate_lines", ("n_lines", "n_dup_lines"), lambda n, d: 100 * d > 50 * n),
     Rule("word_length", ("n_words", "word_chars"), lambda n, c: (c < 2 * n) | (c > 20 * n)),
 )
