@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from holdfast.llm.packs import by_range, dealt, mix
 from holdfast.llm.suffixes import common_prefixes, suffix_array
 
-GRAM, PIECE, CHUNK, HOT = 16, 64, 1 << 18, 1000
+GRAM, PIECE, CHUNK, HOT = 16, 64, 1 << 18, 10_000
 PACK = 6 << 20
 LAST = (1 << 63) - 1
 TOLD = "pack int, kind int, bucket int, ids array<bigint>, told binary"
@@ -106,39 +106,57 @@ class _Pack:
         steps[first] = 0
         return key[first], np.add.reduceat(steps, first)
 
-    def pieces(self, told: np.ndarray, shards: int):
-        """Occurrences of repeated pieces, and the distinct contents by shard.
-
-        Returns (text, start, windows, content number) arrays, contents as (bucket, bytes) in order, and the smallest document of each.
-        """
+    def pieces(self, told: np.ndarray, shards: int) -> _Pieces:
+        """Occurrences of repeated pieces and what is sent of them."""
         state = told[np.searchsorted(self.keys()[0], self.key)] if len(self.key) else np.zeros(0, np.uint8)
-        found: dict[tuple[int, bytes], int] = {}
-        seen, owner = [array("i") for _ in range(4)], []
-        more = self.size - 1
+        return _Pieces(self, state, shards)
+
+
+class _Pieces:
+    """Repeated pieces of a pack.
+
+    at: text, start, windows and piece of each occurrence. sent: (shard, content) in order, with its smallest document in
+    owners. A piece is sent as it is, or window by window if its hash is very common; parts and offsets tell for each window
+    of each piece (piece k from first[k] on) what it was sent in and as which window of that.
+    """
+
+    def __init__(self, pack: _Pack, state: np.ndarray, shards: int):
+        number: dict[tuple[bool, bytes], int] = {}
+        least: list[int] = []
+        key: list[int] = []
+        seen = [array("i") for _ in range(4)]
+        size = pack.size
         for i in np.flatnonzero(state).tolist():
-            t, s, n = int(self.text[i]), int(self.start[i]), int(self.windows[i])
-            d, raw = self.texts[t]
-            hot = state[i] == 2
-            bucket = 0 if hot else ((int(self.key[i]) >> 32) * shards) >> 32
-            for a, m in ((x, 1) for x in range(s, s + n)) if hot else ((s, n),):
-                content = raw[a : a + m + more]
-                if hot:
-                    bucket = ((xxhash.xxh64_intdigest(content) >> 32) * shards) >> 32
-                k = found.setdefault((bucket, content), len(found))
-                if k == len(owner):
-                    owner.append(d)
-                elif d < owner[k]:
-                    owner[k] = d
-                for column, value in zip(seen, (t, a, m, k), strict=True):
-                    column.append(value)
-        contents = sorted(found)
-        place = np.empty(len(contents), np.int32)
-        place[[found[c] for c in contents]] = np.arange(len(contents))
-        at = [np.frombuffer(x, np.int32) for x in seen]
-        at[3] = place[at[3]]
-        owners = np.empty(len(contents), np.int64)
-        owners[place] = np.array(owner, np.int64)
-        return at, contents, owners
+            t, s, n = int(pack.text[i]), int(pack.start[i]), int(pack.windows[i])
+            d, raw = pack.texts[t]
+            k = number.setdefault((bool(state[i] == 2), raw[s : s + n + size - 1]), len(least))
+            if k == len(least):
+                least.append(d)
+                key.append(int(pack.key[i]))
+            elif d < least[k]:
+                least[k] = d
+            for column, value in zip(seen, (t, s, n, k), strict=True):
+                column.append(value)
+        self.at = [np.frombuffer(x, np.int32) for x in seen]
+        owner: dict[tuple[int, bytes], int] = {}
+        shard = lambda h: ((h >> 32) * shards) >> 32
+        names = []
+        for (hot, content), d, h in zip(number, least, key, strict=True):
+            windows = range(len(content) - size + 1)
+            parts = [content[a : a + size] for a in windows] if hot else [content]
+            own = [(shard(xxhash.xxh64_intdigest(x) if hot else h), x) for x in parts]
+            for name in own:
+                owner[name] = min(d, owner.get(name, d))
+            names.append((len(windows), own))
+        self.sent = sorted(owner)
+        self.owners = np.array([owner[x] for x in self.sent], np.int64)
+        place = {x: k for k, x in enumerate(self.sent)}
+        count = np.array([n for n, _ in names], np.int64)
+        self.first = np.cumsum(count) - count
+        within = np.arange(count.sum()) - np.repeat(self.first, count)
+        single = np.array([len(own) == n for n, own in names], bool)
+        self.offsets = np.where(np.repeat(single, count), 0, within).astype(np.int32)
+        self.parts = np.fromiter((place[x] for n, own in names for x in (own if len(own) == n else own * n)), np.int32, int(count.sum()))
 
 
 def _asked(right: pa.Table, kind: int) -> dict[int, bytes]:
@@ -196,8 +214,8 @@ def _cut_out(ranges: int, shards: int, size: int):
         rows: dict[int, list] = defaultdict(lambda: [[], []])
         if left.num_rows:
             p = _Pack(left, _copies(right), size)
-            _, contents, owners = p.pieces(_repeated(p, right, ranges), shards)
-            for (bucket, content), owner in zip(contents, owners.tolist(), strict=True):
+            pieces = p.pieces(_repeated(p, right, ranges), shards)
+            for (bucket, content), owner in zip(pieces.sent, pieces.owners.tolist(), strict=True):
                 rows[bucket][0].append(content)
                 rows[bucket][1].append(owner)
             pack = left.column("pack")[0].as_py()
@@ -269,26 +287,28 @@ def _cleaned(ranges: int, shards: int, size: int, kind: pa.DataType, rest: pa.Da
             return pa.table([pa.array([], k) for k in kinds], names=names)
         copies = _copies(right)
         p = _Pack(left, copies, size)
-        at, contents, owners = p.pieces(_repeated(p, right, ranges), shards)
+        pieces = p.pieces(_repeated(p, right, ranges), shards)
         told = _asked(right, 2)
-        windows = np.array([len(c) - size + 1 for _, c in contents], np.int64)
-        buckets = np.array([b for b, _ in contents], np.int64)
+        windows = np.array([len(c) - size + 1 for _, c in pieces.sent], np.int64)
+        buckets = np.array([b for b, _ in pieces.sent], np.int64)
         bits = np.zeros(int(windows.sum()), bool)
         first = np.cumsum(windows) - windows
         for b in np.unique(buckets).tolist():
             i, j = np.searchsorted(buckets, [b, b + 1]).tolist()
             a, e = first[i], first[j - 1] + windows[j - 1]
             bits[a:e] = np.unpackbits(np.frombuffer(told[b], np.uint8), count=int(e - a))
+        precedes, owner = bits[first[pieces.parts] + pieces.offsets] if len(pieces.parts) else bits, pieces.owners[pieces.parts]
         length = np.array([len(raw) for _, raw in p.texts], np.int64)
         base = np.cumsum(length + 1) - (length + 1)
         edge = np.zeros(int((length + 1).sum()) + 1, np.int32)
         ids = np.array([d for d, _ in p.texts], np.int64)
-        for i in range(0, len(at[0]), CHUNK):
-            text, start, n, content = (x[i : i + CHUNK] for x in at)
-            whole = ids[text] > owners[content]  # an earlier document of this pack has the same piece
+        for i in range(0, len(pieces.at[0]), CHUNK):
+            text, start, n, piece = (x[i : i + CHUNK] for x in pieces.at)
             rows = np.repeat(np.arange(len(n)), n)
             step = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
-            gone = whole[rows] | bits[first[content[rows]] + step]
+            window = pieces.first[piece[rows]] + step
+            # the owner is another pack's document, or an earlier one of this pack
+            gone = precedes[window] | (owner[window] < ids[text[rows]])
             where = (base[text[rows]] + start[rows] + step)[gone]
             np.add.at(edge, where, 1)
             np.add.at(edge, where + size, -1)
