@@ -9,7 +9,6 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.operators.sampling import SEED, sample_n
 from holdfast.operators.scan import running_totals
 
 
