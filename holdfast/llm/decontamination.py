@@ -223,12 +223,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near."""
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     found = matches(docs, benchmark)
     listed = F.array_join(F.array_sort("items"), ",")
     return found.select(
         F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), F.size("near").cast("long").alias("n_near"),
+        (F.col("n_hit") > 0).alias("contaminated"),
     )
 
 

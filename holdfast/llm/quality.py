@@ -156,12 +156,9 @@ def filtered(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "
 
 
 def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per document: doc_id, the measures, base_failed, kept, rejected_by."""
+    """One row per document: doc_id, the measures, base_failed, kept. Which rule rejects first depends on the order found."""
     ordered = [r for r, _, _ in profile(docs, rules)]
     rows = docs.select("doc_id", *(MEASURES[m](F.col("text")).alias(m) for m in MEASURES))
     failed = [rejects(r) for r in rules if r.name in BASE]
-    rows = rows.withColumns({"base_failed": failed[0] | failed[1], "rejected_by": cascade(ordered)})
-    return rows.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        F.col("rejected_by").isNull().alias("kept"), "rejected_by",
-    )
+    rows = rows.withColumns({"base_failed": failed[0] | failed[1], "kept": cascade(ordered).isNull()})
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

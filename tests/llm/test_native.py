@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from holdfast.llm import licenses, mixing, quality
+from holdfast.llm import licenses, mixing, quality, queries
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -81,6 +81,13 @@ def test_mixing(spark):
     assert len(got) == docs.count()
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_sql_twins(spark, name):
+    from oracle import compare, connect
+
+    assert compare(queries.queries()[name](spark, SF), connect(SF), queries.oracle_sql()[name]) == []
+
+
 def test_empty_tables(spark, small):
     none = small.limit(0)
     assert licenses.report(none).count() == quality.report(none).count() == mixing.report(none).count() == 0
