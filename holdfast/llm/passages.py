@@ -92,7 +92,8 @@ class _Pack:
         first = np.repeat(first, pieces) + again * PIECE
         length = np.minimum(np.repeat(length, pieces) - again * PIECE, PIECE)
         number = np.array([k for k, _, _ in held])
-        return number[which[first]], within[first], length, key[first]
+        # smallest values crowd at the lower end: spread them, as they are dealt to ranges
+        return number[which[first]], within[first], length, mix(key[first])
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct hashes, and in how many documents of other identifiers each occurs (0: only one)."""
