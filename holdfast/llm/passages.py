@@ -21,7 +21,6 @@ other's text; texts shorter than a window stay; matches never cross documents; t
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -122,27 +121,21 @@ class _Pieces:
     """
 
     def __init__(self, pack: _Pack, state: np.ndarray, shards: int):
+        size, texts = pack.size, pack.texts
+        some = np.flatnonzero(state)
+        text, start, windows = (x[some].astype(np.int32) for x in (pack.text, pack.start, pack.windows))
         number: dict[tuple[bool, bytes], int] = {}
-        least: list[int] = []
-        key: list[int] = []
-        seen = [array("i") for _ in range(4)]
-        size = pack.size
-        for i in np.flatnonzero(state).tolist():
-            t, s, n = int(pack.text[i]), int(pack.start[i]), int(pack.windows[i])
-            d, raw = pack.texts[t]
-            k = number.setdefault((bool(state[i] == 2), raw[s : s + n + size - 1]), len(least))
-            if k == len(least):
-                least.append(d)
-                key.append(int(pack.key[i]))
-            elif d < least[k]:
-                least[k] = d
-            for column, value in zip(seen, (t, s, n, k), strict=True):
-                column.append(value)
-        self.at = [np.frombuffer(x, np.int32) for x in seen]
+        asked = zip((state[some] == 2).tolist(), text.tolist(), start.tolist(), (start + windows + size - 1).tolist(), strict=True)
+        piece = np.fromiter((number.setdefault((hot, texts[t][1][a:e]), len(number)) for hot, t, a, e in asked), np.int32, len(some))
+        self.at = text, start, windows, piece
+        ids = np.array([d for d, _ in texts], np.int64)
+        least, key = np.full(len(number), LAST), np.zeros(len(number), np.uint64)
+        np.minimum.at(least, piece, ids[text] if len(ids) else LAST)
+        key[piece] = pack.key[some]
         owner: dict[tuple[int, bytes], int] = {}
         shard = lambda h: ((h >> 32) * shards) >> 32
         names = []
-        for (hot, content), d, h in zip(number, least, key, strict=True):
+        for (hot, content), d, h in zip(number, least.tolist(), key.tolist(), strict=True):
             windows = range(len(content) - size + 1)
             parts = [content[a : a + size] for a in windows] if hot else [content]
             own = [(shard(xxhash.xxh64_intdigest(x) if hot else h), x) for x in parts]
@@ -226,8 +219,8 @@ def _cut_out(ranges: int, shards: int, size: int):
     return run
 
 
-def owners_of_windows(contents: list[bytes], owner: np.ndarray, size: int) -> list[np.ndarray]:
-    """For each window of each content: the smallest owner of any content that has the same window."""
+def owners_of_windows(contents: list[bytes], owner: np.ndarray, size: int) -> np.ndarray:
+    """For each window of each content, one after another: the smallest owner of any content that has the same window."""
     lengths = np.array([len(c) for c in contents])
     text = np.frombuffer(b"\0".join(contents) + b"\0", np.uint8)
     starts = np.cumsum(lengths + 1) - (lengths + 1)
@@ -249,31 +242,32 @@ def owners_of_windows(contents: list[bytes], owner: np.ndarray, size: int) -> li
     least = np.minimum.reduceat(owner[piece[order]], first)
     by_place = np.empty(len(t), np.int64)
     by_place[order] = np.repeat(least, np.diff(np.append(first, len(order))))
-    return np.split(by_place[at], np.cumsum(windows)[:-1])
+    return by_place[at]
 
 
 def _sorted_shard(size: int):
     def run(table: pa.Table) -> pa.Table:
         number: dict[bytes, int] = {}
-        least: list[int] = []
         asked = []
         for data, lengths, owners in zip(*(table.column(c).to_pylist() for c in ("data", "lengths", "owners")), strict=True):
-            ends = np.cumsum(np.frombuffer(lengths, np.uint16), dtype=np.int64)
-            own, mine, a = np.frombuffer(owners, np.int64), [], 0
-            for e, d in zip(ends.tolist(), own.tolist(), strict=True):
-                k = number.setdefault(data[a:e], len(least))
-                if k == len(least):
-                    least.append(d)
-                elif d < least[k]:
-                    least[k] = d
-                mine.append(k)
-                a = e
-            asked.append((mine, own))
-        found = owners_of_windows(list(number), np.array(least, np.int64), size)
+            length = np.frombuffer(lengths, np.uint16).astype(np.int64)
+            ends = np.cumsum(length)
+            cuts = zip((ends - length).tolist(), ends.tolist(), strict=True)
+            mine = np.fromiter((number.setdefault(data[a:e], len(number)) for a, e in cuts), np.int32, len(length))
+            asked.append((mine, np.frombuffer(owners, np.int64)))
+        least = np.full(len(number), LAST)
+        for mine, own in asked:
+            np.minimum.at(least, mine, own)
+        contents = list(number)
+        number.clear()
+        found = owners_of_windows(contents, least, size)
+        windows = np.array([len(c) for c in contents]) - size + 1
+        first = np.cumsum(windows) - windows
         rows = []
         for p, b, (mine, own) in zip(table.column("pack").to_pylist(), table.column("bucket").to_pylist(), asked, strict=True):
-            bits = np.concatenate([found[k] < d for k, d in zip(mine, own.tolist(), strict=True)])
-            rows.append((p, 2, b, [], np.packbits(bits).tobytes()))
+            n = windows[mine]
+            at = np.repeat(first[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            rows.append((p, 2, b, [], np.packbits(found[at] < np.repeat(own, n)).tobytes()))
         return _table(ANSWER, rows)
 
     return run
