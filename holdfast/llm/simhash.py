@@ -27,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import partial
 from itertools import combinations
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ from holdfast.sources.storage import ensure_checkpoint_dir
 
 BITS, BLOCK = 64, 65_536
 SEED = 42
+COMMON, FEW = 500_000, 200_000  # at most as many frequent shingles are told apart; nodes that are broadcast
 
 
 def fingerprint(raw: bytes, shingle: int = 3) -> int:
@@ -246,68 +248,141 @@ def report(docs: DataFrame) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def _majority(h: np.ndarray) -> int:
-    ones = np.zeros(BITS, np.int64)
-    for i in range(0, len(h), BLOCK):
-        ones += _bits(h[i : i + BLOCK]).sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.int64)[0])
+def shingle_hashes(raw: bytes, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of a text's word shingles: one for fewer words than a shingle, none without words."""
+    w = raw.lower().split()
+    width = min(shingle, len(w))
+    h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), w), np.uint64, len(w))
+    n = len(w) - width + 1 if w else 0
+    made = h[:n]
+    for k in range(1, width):
+        made = mix(made) + h[k : n + k]
+    return np.unique(mix(made))
 
 
-def sketch(raw: bytes, shingle: int, spaces: int) -> list[int]:
-    """Signed fingerprints of the set of a text's shingles under `spaces` hash functions."""
-    w = raw.lower().split()
-    grams = set(map(b" ".join, zip(*(w[i:] for i in range(shingle)), strict=False))) if len(w) >= shingle else {b" ".join(w)} if w else set()
-    h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), grams), np.uint64, len(grams))
-    with np.errstate(over="ignore"):
-        return [_majority(mix(h + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1))) if len(h) else 0 for k in range(spaces)]
+def _name(hashes: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
 
 
-def sketches(docs: DataFrame, id_col: str, text_col: str, find: int, prove: int, shingle: int) -> DataFrame:
-    """(id, find, prove): fingerprints of single words to find candidates, and of shingles to verify them."""
-    lean = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("raw"))
+def _hashed(docs: DataFrame, text_col: str, shingle: int, make, schema: str) -> DataFrame:
+    """make(list of hash sets) -> columns, over the batches of a table's texts."""
+    lean = docs.select(F.col(f"`{text_col}`").cast("binary").alias("raw"))
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            both = [(sketch(raw, 1, find), sketch(raw, shingle, prove)) for raw in (x.as_py() or b"" for x in b.column(1))]
-            cols = [b.column(0), *(pa.array([x[i] for x in both], pa.list_(pa.int64())) for i in range(2))]
-            yield pa.RecordBatch.from_arrays(cols, names=["id", "find", "prove"])
+            for i in range(0, len(b), 1000):
+                cols = make([shingle_hashes(x.as_py() or b"", shingle) for x in b.column(0).slice(i, 1000)])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
+
+    return lean.mapInArrow(run, schema)
+
+
+def _short(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def common_shingles(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The upper halves of the COMMON most frequent shingle hashes, sorted, and how often they occur (more than eight times)."""
+
+    def make(sets: list[np.ndarray]) -> list[np.ndarray]:
+        value, n = np.unique(_short(np.concatenate(sets)), return_counts=True)
+        return [value, n]
+
+    counted = _hashed(docs, text_col, shingle, make, "half int, n bigint").groupBy("half").agg(F.sum("n").alias("n"))
+    top = counted.filter("n > 8").orderBy(F.desc("n"), "half").limit(COMMON).toArrow()
+    half, n = (top.column(c).to_numpy() for c in ("half", "n"))
+    order = np.argsort(half)
+    return half[order], n[order]
+
+
+def prefixes(docs: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """(token, node, pos, size): the rarest shingles of each text, as many as two similar texts must share one of."""
+    sent = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text_col, shingle))
+
+    def make(sets: list[np.ndarray]) -> list[np.ndarray]:
+        half, often = sent.value
+        parts = [[np.zeros(0, np.int64)] * 4]
+        for h in sets:
+            if not len(h):
+                continue
+            n = np.zeros(len(h), np.int64)
+            if len(half):
+                mine = _short(h)
+                at = np.minimum(np.searchsorted(half, mine), len(half) - 1)
+                n = np.where(half[at] == mine, often[at], 0)
+            first = np.lexsort((h, n))[: len(h) - _least(similarity, len(h)) + 1]
+            name = np.uint64(_name(h))
+            parts.append([h[first].view(np.int64), np.full(len(first), name).view(np.int64), np.arange(len(first)), np.full(len(first), len(h))])
+        token, node, pos, size = (np.concatenate(c) for c in zip(*parts, strict=True))
+        return [token, node, pos.astype(np.int32), size.astype(np.int32)]
+
+    return _hashed(docs, text_col, shingle, make, "token bigint, node bigint, pos int, size int")
+
 
-    return lean.mapInArrow(run, f"id {lean.schema['id'].dataType.simpleString()}, find array<bigint>, prove array<bigint>")
+def _least(share: float, n: int) -> int:
+    """Smallest whole number that is `share` of n or more."""
+    return ceil(share * n - 1e-9)
 
 
-def near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, find: int = 12, prove: int = 4
-) -> DataFrame:
-    """(id, component): documents whose sets of word shingles have an estimated Jaccard similarity of `similarity` or more.
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingle hashes have a Jaccard similarity of `similarity` or more, exactly."""
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("hashes").alias(f"{c}_set"))
+    both = F.size(F.array_intersect("a_set", "b_set"))
+    held = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("both", both)
+    return held.filter(F.col("both") >= similarity * (F.size("a_set") + F.size("b_set") - F.col("both")) - 1e-9).select("a", "b")
 
-    A change of one word changes `shingle` shingles, which moves too many bits of their fingerprint for any index. Candidates
-    are therefore documents at distance 2 or less in one of `find` fingerprints of their set of single words; each is
-    verified on 64 * prove bits of fingerprints of their shingles, whose distance estimates the similarity. Equal sketches
-    are one node. Copies of the same document are joined through the smallest document of each fingerprint.
+
+def _may(similarity: float):
+    """Lossless conditions on members x and y of a bucket: sizes, and the prefixes that two sets of such sizes must share a token of."""
+    need = F.ceil(similarity / (1 + similarity) * (F.col("x.size") + F.col("y.size")) - 1e-9)
+    sizes = F.least("x.size", "y.size") >= similarity * F.greatest("x.size", "y.size") - 1e-9
+    return sizes & (F.col("x.pos") + need <= F.col("x.size")) & (F.col("y.pos") + need <= F.col("y.size"))
+
+
+def _ordered() -> list:
+    return [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
+
+
+def _linked(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(node, root) of all nodes with a similar one: every pair of a bucket is compared."""
+    met = buckets.alias("x").join(buckets.alias("y"), "token").filter((F.col("x.node") < F.col("y.node")) & _may(similarity))
+    return components(_similar(met.select(*_ordered()).distinct(), sets, similarity))
+
+
+def _sets(docs: DataFrame, text_col: str, shingle: int, nodes: DataFrame) -> DataFrame:
+    """(node, hashes) of the given nodes."""
+
+    def make(sets: list[np.ndarray]) -> list:
+        return [np.array([_name(h) for h in sets], np.uint64).view(np.int64), [h.view(np.int64) for h in sets]]
+
+    held = _hashed(docs, text_col, shingle, make, "node bigint, hashes array<bigint>")
+    few = nodes.count() <= FEW
+    return held.join(F.broadcast(nodes) if few else nodes, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes")).checkpoint()
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, component): documents linked by a Jaccard similarity of `similarity` or more of their sets of word shingles.
+
+    No similar pair is lost: two such sets share one of the few shingles that come first in an order common to all texts, rare
+    ones before frequent ones (prefix filter). Texts that share one are compared by their whole sets of shingle hashes.
+    Texts with equal sets are one node; texts without words have the empty set and are one too.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    rows = sketches(docs, id_col, text_col, find, prove, shingle).withColumn("key", F.xxhash64("find", "prove")).checkpoint()
-    nodes = rows.groupBy("key").agg(F.min("id").alias("node"), F.first("find").alias("find"), F.first("prove").alias("prove")).checkpoint()
-    placed = nodes.select("node", "prove", F.posexplode("find").alias("space", "print"))
-    heads = placed.groupBy("space", "print").agg(F.min_by(F.struct("node", "prove"), "node").alias("head"))
-    heads = heads.select("space", "print", F.col("head.node").alias("node"), F.col("head.prove").alias("prove")).checkpoint()
-    found = links(heads.select("space", "print"), 2)
-    end = lambda side: heads.select("space", F.col("print").alias(side), F.struct("node", "prove").alias(f"{side}_end"))
-    across = found.join(end("a"), ["space", "a"]).join(end("b"), ["space", "b"]).select("a_end", "b_end")
-    within = placed.join(heads.select("space", "print", F.struct("node", "prove").alias("b_end")), ["space", "print"])
-    within = within.select(F.struct("node", "prove").alias("a_end"), "b_end")
-    ends = across.unionByName(within).filter(F.col("a_end.node") != F.col("b_end.node"))
-    apart = F.aggregate(
-        F.zip_with("a_end.prove", "b_end.prove", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x
-    )
-    # sets of equal size with Jaccard similarity s have the cosine 2 s / (1 + s); the slack is 1.5 standard deviations of
-    # the number of differing bits, so that nearly all pairs of that similarity pass
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    most = int(BITS * prove * share + 1.5 * np.sqrt(BITS * prove * share * (1 - share)))
-    sure = ends.filter(apart <= most).select(F.col("a_end.node").alias("a"), F.col("b_end.node").alias("b"))
-    roots = components(sure)
-    named = nodes.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("component"))
-    return rows.join(named, "key").select("id", "component")
+    lean = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("raw"))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            name = np.fromiter((_name(shingle_hashes(x.as_py() or b"", shingle)) for x in b.column(1)), np.uint64, len(b))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(name.view(np.int64))], names=["id", "node"])
+
+    rows = lean.mapInArrow(named, f"id {lean.schema['id'].dataType.simpleString()}, node bigint").checkpoint()
+    tokens = prefixes(docs, text_col, shingle, similarity).distinct()
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
+    buckets = tokens.join(shared, "token").checkpoint()
+    roots = _linked(buckets, _sets(docs, text_col, shingle, buckets.select("node").distinct().checkpoint()), similarity)
+    placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return placed.join(placed.groupBy("root").agg(F.min("id").alias("component")), "root").select("id", "component")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -99,6 +99,32 @@ def test_near_copies_of_long_texts(spark):
     assert sum(got[2 * k + 1] == 2 * k for k in range(40)) >= 36 and all(got[2 * k] == 2 * k for k in range(40))
 
 
+def _changed(rnd, words, share, how):
+    """A copy whose five-word shingles have about the given Jaccard similarity to the words' own."""
+    if how == "added":
+        return words + [_word(rnd) for _ in range(int(len(words) * (1 / share - 1)))]
+    words = list(words)
+    for i in rnd.sample(range(len(words)), max(1, int(len(words) * (1 - share) / (1 + share) / 5))):
+        words[i] = _word(rnd)
+    return words
+
+
+def _word(rnd):
+    return "".join(rnd.choices("abcdefghij", k=6))
+
+
+def test_near_copies_with_added_or_replaced_words(spark, docs):
+    rnd, texts = random.Random(6), _texts(docs)
+    for k in range(120):
+        w = [_word(rnd) for _ in range(300)]
+        texts[20_000 + 2 * k] = " ".join(w)
+        texts[20_001 + 2 * k] = " ".join(_changed(rnd, w, (0.81, 0.85, 0.91)[k % 3], ("added", "replaced")[k % 2]))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.id: r.component for r in simhash.near_copies(df).collect()}
+    want = brute.near_copies(texts)
+    assert got == want and sum(want[20_001 + 2 * k] == 20_000 + 2 * k for k in range(120)) >= 110
+
+
 @pytest.mark.parametrize("hot", [1000, 10])
 def test_repeated_passages(docs, spark, small_packs, monkeypatch, hot):
     monkeypatch.setattr(passages, "HOT", hot)
