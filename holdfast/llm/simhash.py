@@ -42,6 +42,7 @@ from holdfast.sources.storage import ensure_checkpoint_dir
 BITS, BLOCK = 64, 65_536
 SEED = 42
 COMMON, FEW = 500_000, 200_000  # at most as many frequent shingles are told apart; nodes that are broadcast
+ROUNDS, PAIRS = 8, 4  # heads of a bucket before all its pairs are compared; pairs for each of its rows that are compared at once
 
 
 def fingerprint(raw: bytes, shingle: int = 3) -> int:
@@ -345,9 +346,36 @@ def _ordered() -> list:
 
 
 def _linked(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(node, root) of all nodes with a similar one: every pair of a bucket is compared."""
-    met = buckets.alias("x").join(buckets.alias("y"), "token").filter((F.col("x.node") < F.col("y.node")) & _may(similarity))
-    return components(_similar(met.select(*_ordered()).distinct(), sets, similarity))
+    """(node, root) of all nodes with a similar one.
+
+    Every pair of a bucket is compared or already in one component. While those not yet compared are many (copies of one text by
+    the thousand), each bucket has a head, the member in most buckets of its smallest component: it is compared with all members
+    of other components and leaves the bucket. Then, or after ROUNDS heads, all pairs left are compared.
+    """
+    degree = buckets.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    left, roots, found = buckets.join(degree, "node").checkpoint(), None, None
+    bound = PAIRS * left.count()
+    for k in range(ROUNDS + 1):
+        if roots is not None:
+            left = left.join(roots, "node", "left")
+        here = left.withColumn("root", F.coalesce("root", "node") if roots is not None else F.col("node")).checkpoint()
+        parts = here.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("degree", "node")).alias("top"))
+        first = F.min_by("top.node", F.struct("n", -F.col("top.degree"), "root"))
+        open_ = parts.groupBy("token").agg(
+            first.alias("head"), F.count(F.lit(1)).alias("roots"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")
+        ).filter("roots > 1").select("token", "head", "pairs").checkpoint()
+        pairs = open_.agg(F.sum("pairs")).first()[0] or 0
+        last = pairs <= bound or k == ROUNDS
+        here = here.join(open_.select("token", "head"), "token").checkpoint()
+        ends = (F.col("x.node") < F.col("y.node")) if last else (F.col("y.node") == F.col("y.head"))
+        met = here.alias("x").join(here.alias("y") if last else here.filter("node = head").alias("y"), "token")
+        met = met.filter(ends & (F.col("x.root") != F.col("y.root")) & _may(similarity)).select(*_ordered()).distinct()
+        new = _similar(met, sets, similarity).checkpoint()
+        found = new if found is None else found.unionByName(new)
+        roots = components(found)
+        if last:
+            return roots
+        left = here.filter("node <> head").select("token", "node", "pos", "size", "degree")
 
 
 def _sets(docs: DataFrame, text_col: str, shingle: int, nodes: DataFrame) -> DataFrame:

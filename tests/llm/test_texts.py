@@ -125,6 +125,28 @@ def test_near_copies_with_added_or_replaced_words(spark, docs):
     assert got == want and sum(want[20_001 + 2 * k] == 20_000 + 2 * k for k in range(120)) >= 110
 
 
+@pytest.mark.parametrize("pairs", [4, 0])
+def test_near_copies_among_texts_unlike_their_head(spark, monkeypatch, pairs):
+    monkeypatch.setattr(simhash, "PAIRS", pairs)  # 0: heads first
+    rnd = random.Random(7)
+    texts = {}
+    words = [_word(rnd) for _ in range(200)]
+    for k in range(6):  # the same words in other orders: equal word sets, no common shingles
+        order = rnd.sample(words, 200)
+        texts[10 * k] = " ".join(order)
+        for i in (1, 2):
+            at = 40 * i + k
+            texts[10 * k + i] = " ".join([*order[:at], order[at + 1], order[at], *order[at + 2 :]])
+    base = [_word(rnd) for _ in range(200)]
+    for i in range(30):  # similar to the last of them, not to each other
+        texts[100 + i] = " ".join(_changed(rnd, base, 0.86, "replaced"))
+    texts[130] = " ".join(base)
+    want = brute.near_copies(texts)
+    assert len(set(want.values())) == 7
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.id: r.component for r in simhash.near_copies(df).collect()} == want
+
+
 @pytest.mark.parametrize("hot", [1000, 10])
 def test_repeated_passages(docs, spark, small_packs, monkeypatch, hot):
     monkeypatch.setattr(passages, "HOT", hot)
