@@ -147,6 +147,18 @@ def test_near_copies_among_texts_unlike_their_head(spark, monkeypatch, pairs):
     assert {r.id: r.component for r in simhash.near_copies(df).collect()} == want
 
 
+def test_texts_below_the_similarity_are_no_near_copies(spark):
+    rnd, texts = random.Random(8), {}
+    for k in range(60):
+        w = [_word(rnd) for _ in range(300)]
+        texts[2 * k] = " ".join(w)
+        texts[2 * k + 1] = " ".join(_changed(rnd, w, (0.7, 0.74, 0.77)[k % 3], "replaced"))
+    want = brute.near_copies(texts)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.id: r.component for r in simhash.near_copies(df).collect()} == want
+    assert sum(want[2 * k + 1] != 2 * k for k in range(60)) > 50
+
+
 @pytest.mark.parametrize("hot", [1000, 10])
 def test_repeated_passages(docs, spark, small_packs, monkeypatch, hot):
     monkeypatch.setattr(passages, "HOT", hot)
