@@ -233,6 +233,10 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents without any window of a test item, all columns as they are. Rows of one identifier are judged together."""
-    bad = matches(docs, benchmark, id_col, text_col).filter("n_hit > 0").select(F.col("id").alias("bad_id")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["bad_id"]), "left_anti")
+    """Documents without any window of a test item, all columns as they are. Rows are judged by identifier and text."""
+    digest = F.coalesce(F.sha2(F.col(f"`{text_col}`").cast("binary"), 256), F.lit(""))
+    told = docs.withColumn("_digest", digest)
+    keyed = docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), digest.alias("digest")).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    bad = matches(keyed, benchmark, "row", "text").filter("n_hit > 0").select(F.col("id.id").alias("bad_id"), F.col("id.digest").alias("bad_digest")).distinct()
+    clean = told.join(bad, told[id_col].eqNullSafe(bad["bad_id"]) & (told["_digest"] == bad["bad_digest"]), "left_anti")
+    return clean.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -396,26 +396,45 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ones before frequent ones (prefix filter). Texts that share one are compared by their whole sets of shingle hashes.
     Texts with equal sets are one node; texts without words have the empty set and are one too.
     """
+    placed = _placed(docs, id_col, text_col, shingle, similarity)
+    return placed.join(placed.groupBy("root").agg(F.min("id").alias("component")), "root").select("id", "component")
+
+
+def _digest(text_col: str):
+    """Tells texts apart; NULL is not the empty text."""
+    return F.coalesce(F.sha2(F.col(f"`{text_col}`").cast("binary"), 256), F.lit(""))
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """(id, digest, node, root) of every row."""
     ensure_checkpoint_dir(docs.sparkSession)
-    lean = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("raw"))
+    lean = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("raw"), _digest(text_col).alias("digest"))
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             name = np.fromiter((_name(shingle_hashes(x.as_py() or b"", shingle)) for x in b.column(1)), np.uint64, len(b))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(name.view(np.int64))], names=["id", "node"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(name.view(np.int64))], names=["id", "digest", "node"])
 
-    rows = lean.mapInArrow(named, f"id {lean.schema['id'].dataType.simpleString()}, node bigint").checkpoint()
+    rows = lean.mapInArrow(named, f"id {lean.schema['id'].dataType.simpleString()}, digest string, node bigint").checkpoint()
     tokens = prefixes(docs, text_col, shingle, similarity).distinct()
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
     buckets = tokens.join(shared, "token").checkpoint()
     roots = _linked(buckets, _sets(docs, text_col, shingle, buckets.select("node").distinct().checkpoint()), similarity)
-    placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return placed.join(placed.groupBy("root").agg(F.min("id").alias("component")), "root").select("id", "component")
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """One document of each group of near copies (see `near_copies`), that with the smallest identifier, all columns as they are."""
-    found = near_copies(docs, id_col, text_col, **how)
-    gone = found.filter(F.col("id") != F.col("component")).select(F.col("id").alias("gone_id")).distinct()
-    first = docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
-    return first.dropDuplicates([id_col])
+def deduplicated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """One document of each group of near copies (see `near_copies`), that with the smallest identifier, all columns as they are.
+
+    A NULL identifier comes after all others; of texts under one identifier that with the smallest digest stays. Rows are judged
+    by identifier and text: other texts of an identifier stay, and of rows equal in both one stays.
+    """
+    placed = _placed(docs, id_col, text_col, shingle, similarity).select("root", F.struct(F.col("id").isNull().alias("none"), "id", "digest").alias("row"))
+    placed = placed.distinct()
+    gone = placed.join(placed.groupBy("root").agg(F.min("row").alias("kept")), "root").filter(~F.col("row").eqNullSafe(F.col("kept")))
+    gone = gone.select(F.col("row.id").alias("gone_id"), F.col("row.digest").alias("gone_digest"))
+    told = docs.withColumn("_digest", _digest(text_col))
+    first = told.join(gone, told[id_col].eqNullSafe(gone["gone_id"]) & (told["_digest"] == gone["gone_digest"]), "left_anti")
+    return first.dropDuplicates([id_col, "_digest"]).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -214,6 +214,19 @@ def test_decontamination(docs, spark, monkeypatch, block):
     assert decontamination.report(docs, bench.limit(0)).filter("contaminated").count() == 0
 
 
+def test_rows_are_judged_by_identifier_and_text(spark):
+    rnd = random.Random(9)
+    text = [" ".join(_word(rnd) for _ in range(60)) for _ in range(6)]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (3, text[2]), (3, text[3]), (1, text[3]), (None, text[3]), (4, text[4]), (4, text[4]), (5, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id or 0, r.text) for r in simhash.deduplicated(df).collect()), key=str)
+    want = [(0, text[0]), (0, text[1]), (3, text[2]), (1, text[3]), (4, text[4])]
+    assert [x for x in kept if x[0] != 5] == sorted(want, key=str) and len(kept) == len(want) + 1
+    bench = spark.createDataFrame([("a", text[0]), ("b", text[2])], "item_id string, text string")
+    clean = decontamination.decontaminated(df, bench).collect()
+    assert sorted(map(str, clean)) == sorted(str(r) for r in df.collect() if r.text not in (text[0], text[2]))
+
+
 def test_scores(docs, small_packs):
     got = {r.doc_id: r for r in scoring.report(docs).collect()}
     tokens = {d: (t or "").encode().lower().split() + [b" end"] for d, t in _texts(docs).items()}
