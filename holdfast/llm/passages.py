@@ -35,7 +35,7 @@ from holdfast.llm.suffixes import common_prefixes, suffix_array
 GRAM, PIECE, CHUNK, HOT = 16, 64, 1 << 18, 10_000
 PACK = 6 << 20
 LAST = (1 << 63) - 1
-TOLD = "pack int, kind int, bucket int, ids array<bigint>, told binary"
+TOLD = "pack int, kind int, bucket int, ids array<struct<id:bigint,print:binary>>, told binary"
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
@@ -59,11 +59,12 @@ def smallest_hashes(b: np.ndarray, size: int) -> np.ndarray:
 class _Pack:
     """The pack's documents that are no copies, and the runs of windows they consist of."""
 
-    def __init__(self, table: pa.Table, copies: set[int], size: int):
+    def __init__(self, table: pa.Table, copies: set[tuple[int, bytes]], size: int):
         self.size = size
         ids = [LAST if x is None else x for x in table.column("id").to_pylist()]
         self.rows = [(d, raw.as_py()) for d, raw in zip(ids, table.column("raw"), strict=True)]
-        own = {(d, raw) for d, raw in self.rows if len(raw) >= size and d not in copies}
+        self.copied = [bool(copies) and len(raw) >= size and (d, hashlib.sha256(raw).digest()) in copies for d, raw in self.rows]
+        own = {(d, raw) for (d, raw), gone in zip(self.rows, self.copied, strict=True) if len(raw) >= size and not gone}
         self.texts = sorted(own)  # any order of the rows gives the same
         at, held, parts = 0, [], []
         for k, (_, raw) in enumerate(self.texts):
@@ -157,8 +158,9 @@ def _asked(right: pa.Table, kind: int) -> dict[int, bytes]:
     return {b: x for k, b, x in zip(*(right.column(c).to_pylist() for c in ("kind", "bucket", "told")), strict=True) if k == kind}
 
 
-def _copies(right: pa.Table) -> set[int]:
-    return {d for k, ids in zip(right.column("kind").to_pylist(), right.column("ids").to_pylist(), strict=True) if k == 0 for d in ids}
+def _copies(right: pa.Table) -> set[tuple[int, bytes]]:
+    """(identifier, digest of the text): other texts of the identifier are no copies."""
+    return {(x["id"], x["print"]) for k, ids in zip(right.column("kind").to_pylist(), right.column("ids").to_pylist(), strict=True) if k == 0 for x in ids}
 
 
 def _repeated(p: _Pack, right: pa.Table, ranges: int) -> np.ndarray:
@@ -176,7 +178,7 @@ def _table(schema: list[tuple[str, pa.DataType]], rows: list[tuple]) -> pa.Table
 
 SENT = [("bucket", pa.int32()), ("pack", pa.int32()), ("data", pa.binary()), ("lengths", pa.binary()), ("owners", pa.binary())]
 SENT_SQL = "bucket int, pack int, data binary, lengths binary, owners binary"
-ANSWER = [("pack", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("ids", pa.list_(pa.int64())), ("told", pa.binary())]
+ANSWER = [("pack", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("ids", pa.list_(pa.struct([("id", pa.int64()), ("print", pa.binary())]))), ("told", pa.binary())]
 
 
 def _hashes(ranges: int, size: int):
@@ -280,8 +282,7 @@ def _cleaned(ranges: int, shards: int, size: int, kind: pa.DataType, rest: pa.Da
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
-        copies = _copies(right)
-        p = _Pack(left, copies, size)
+        p = _Pack(left, _copies(right), size)
         pieces = p.pieces(_repeated(p, right, ranges), shards)
         told = _asked(right, 2)
         windows = np.array([len(c) - size + 1 for _, c in pieces.sent], np.int64)
@@ -316,8 +317,8 @@ def _cleaned(ranges: int, shards: int, size: int, kind: pa.DataType, rest: pa.Da
             spans = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum())
             out[d, raw] = n, removed, spans, hashlib.sha256(kept).hexdigest(), kept
         made = []
-        for d, raw in p.rows:
-            if len(raw) >= size and d in copies:
+        for (d, raw), gone in zip(p.rows, p.copied, strict=True):
+            if gone:
                 made.append((len(raw), len(raw), 1, EMPTY, b""))
             else:
                 made.append(out.get((d, raw)) or (len(raw), 0, 0, hashlib.sha256(raw).hexdigest(), raw))
@@ -339,7 +340,7 @@ def _plan(docs: DataFrame, id_col: str, text_col: str, size: int, keep: bool) ->
     print_ = F.coalesce(F.unhex(F.sha2("raw", 256)), F.lit(bytearray()))
     prints = texts.select("pack", F.coalesce("id", F.lit(LAST)).alias("id"), print_.alias("print"))
     first = prints.groupBy("print").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
-    copies = prints.join(first, "print").filter("id > first").groupBy("pack").agg(F.collect_set("id").alias("ids"))
+    copies = prints.join(first, "print").filter("id > first").groupBy("pack").agg(F.collect_set(F.struct("id", "print")).alias("ids"))
     none = lambda kind: [F.lit(kind).alias("kind"), F.lit(-1).alias("bucket")]
     copies = copies.select(F.col("pack").alias("pack"), *none(0), "ids", F.lit(None).cast("binary").alias("told"))
     by = lambda df: df.groupBy("pack")

@@ -179,6 +179,19 @@ def test_passages_without_identifier_or_rows(spark):
     assert passages.without_repeats(df.withColumn("n_chars", F.lit(1))).columns == ["doc_id", "text", "n_chars"]
 
 
+def test_passages_of_other_texts_under_a_copys_identifier(spark):
+    rnd = random.Random(10)
+    said = [" ".join(_word(rnd) for _ in range(12)) for _ in range(5)]
+    rows = [(1, said[0]), (None, said[0]), (None, said[1]), (None, said[2]), (2, said[3]), (7, said[3]), (7, said[4])]
+    got = {(r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in passages.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    gone = {(None, said[0]), (7, said[3])}
+    want = set()
+    for d, t in rows:
+        kept = "" if (d, t) in gone else t
+        want.add((d, len(t), len(t) - len(kept), hashlib.sha256(kept.encode()).hexdigest()))
+    assert got == want
+
+
 def test_suffix_arrays():
     rnd = random.Random(3)
     for _ in range(300):
