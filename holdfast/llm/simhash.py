@@ -24,7 +24,7 @@ alone. No driver or task holds more than 64 x 64 bit counts, the slices' histogr
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import combinations
 from math import ceil
@@ -41,7 +41,7 @@ from holdfast.sources.storage import ensure_checkpoint_dir
 
 BITS, BLOCK = 64, 65_536
 SEED = 42
-COMMON, FEW = 500_000, 200_000  # at most as many frequent shingles are told apart; nodes that are broadcast
+COMMON, SAMPLE, FEW = 500_000, 8, 200_000  # at most as many frequent shingles are told apart; texts for one counted; nodes that are broadcast
 ROUNDS, PAIRS = 8, 4  # heads of a bucket before all its pairs are compared; pairs for each of its rows that are compared at once
 
 
@@ -284,14 +284,18 @@ def _short(hashes: np.ndarray) -> np.ndarray:
 
 
 def common_shingles(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """The upper halves of the COMMON most frequent shingle hashes, sorted, and how often they occur (more than eight times)."""
+    """The upper halves of the COMMON most frequent shingle hashes, sorted, and how often they occur.
+
+    They only make the order of shingles, for which any numbers do, so one text in SAMPLE is counted.
+    """
 
     def make(sets: list[np.ndarray]) -> list[np.ndarray]:
         value, n = np.unique(_short(np.concatenate(sets)), return_counts=True)
         return [value, n]
 
-    counted = _hashed(docs, text_col, shingle, make, "half int, n bigint").groupBy("half").agg(F.sum("n").alias("n"))
-    top = counted.filter("n > 8").orderBy(F.desc("n"), "half").limit(COMMON).toArrow()
+    some = docs.filter(F.pmod(F.xxhash64(F.col(f"`{text_col}`")), F.lit(SAMPLE)) == 0)
+    counted = _hashed(some, text_col, shingle, make, "half int, n bigint").groupBy("half").agg(F.sum("n").alias("n"))
+    top = counted.filter("n > 2").orderBy(F.desc("n"), "half").limit(COMMON).toArrow()
     half, n = (top.column(c).to_numpy() for c in ("half", "n"))
     order = np.argsort(half)
     return half[order], n[order]
@@ -304,7 +308,7 @@ def prefixes(docs: DataFrame, text_col: str, shingle: int, similarity: float) ->
     def make(sets: list[np.ndarray]) -> list[np.ndarray]:
         half, often = sent.value
         parts = [[np.zeros(0, np.int64)] * 4]
-        for h in sets:
+        for name, h in {_name(h): h for h in sets}.items():
             if not len(h):
                 continue
             n = np.zeros(len(h), np.int64)
@@ -313,8 +317,7 @@ def prefixes(docs: DataFrame, text_col: str, shingle: int, similarity: float) ->
                 at = np.minimum(np.searchsorted(half, mine), len(half) - 1)
                 n = np.where(half[at] == mine, often[at], 0)
             first = np.lexsort((h, n))[: len(h) - _least(similarity, len(h)) + 1]
-            name = np.uint64(_name(h))
-            parts.append([h[first].view(np.int64), np.full(len(first), name).view(np.int64), np.arange(len(first)), np.full(len(first), len(h))])
+            parts.append([h[first].view(np.int64), np.full(len(first), name, np.uint64).view(np.int64), np.arange(len(first)), np.full(len(first), len(h))])
         token, node, pos, size = (np.concatenate(c) for c in zip(*parts, strict=True))
         return [token, node, pos.astype(np.int32), size.astype(np.int32)]
 
@@ -345,7 +348,7 @@ def _ordered() -> list:
     return [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
 
 
-def _linked(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _linked(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
     """(node, root) of all nodes with a similar one.
 
     Every pair of a bucket is compared or already in one component. While those not yet compared are many (copies of one text by
@@ -369,8 +372,9 @@ def _linked(buckets: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
         here = here.join(open_.select("token", "head"), "token").checkpoint()
         ends = (F.col("x.node") < F.col("y.node")) if last else (F.col("y.node") == F.col("y.head"))
         met = here.alias("x").join(here.alias("y") if last else here.filter("node = head").alias("y"), "token")
-        met = met.filter(ends & (F.col("x.root") != F.col("y.root")) & _may(similarity)).select(*_ordered()).distinct()
-        new = _similar(met, sets, similarity).checkpoint()
+        met = met.filter(ends & (F.col("x.root") != F.col("y.root")) & _may(similarity)).select(*_ordered()).distinct().checkpoint()
+        nodes = met.select(F.explode(F.array("a", "b")).alias("node")).distinct().checkpoint()
+        new = _similar(met, sets(nodes), similarity).checkpoint()
         found = new if found is None else found.unionByName(new)
         roots = components(found)
         if last:
@@ -416,10 +420,11 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarit
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(name.view(np.int64))], names=["id", "digest", "node"])
 
     rows = lean.mapInArrow(named, f"id {lean.schema['id'].dataType.simpleString()}, digest string, node bigint").checkpoint()
-    tokens = prefixes(docs, text_col, shingle, similarity).distinct()
+    # by token alone: what follows needs no other shuffle
+    tokens = prefixes(docs, text_col, shingle, similarity).repartition("token").distinct()
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
     buckets = tokens.join(shared, "token").checkpoint()
-    roots = _linked(buckets, _sets(docs, text_col, shingle, buckets.select("node").distinct().checkpoint()), similarity)
+    roots = _linked(buckets, lambda nodes: _sets(docs, text_col, shingle, nodes), similarity)
     return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
