@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from holdfast.llm import decontamination, licenses, mixing, pages, passages, preferences, quality, scoring, simhash, warc
+from holdfast.llm import (
+    alignment, decontamination, licenses, mixing, pages, passages, preferences, quality, scoring, simhash, vectors, warc, whitening,
+)
 from holdfast.llm.text import LOWER, UPPER
 
 
@@ -55,10 +57,23 @@ def op10_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preferences.formatted(turns, preferences.neighbours(turns))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(_table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.report(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_simhash_near_dedup, op2_suffix_array_dedup, op3_license_scan, op4_decontamination, op5_warc_audit, op6_quality_rules,
-        op7_lm_scoring, op8_mixing, op9_html_extraction, op10_preference_formatting,
+        op7_lm_scoring, op8_mixing, op9_html_extraction, op10_preference_formatting, op11_tokenizer_alignment,
+        op12_embedding_near_dedup, op13_embedding_whitening,
     )
     return {f.__name__: f for f in every}
 
