@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -95,21 +96,25 @@ class _Pack:
         # smallest values crowd at the lower end: spread them, as they are dealt to ranges
         return number[which[first]], within[first], length, mix(key[first])
 
-    def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct hashes, and in how many documents of other identifiers each occurs (0: only one)."""
+    @cached_property
+    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct hashes, in how many documents of other identifiers each occurs (0: only one), and the place of each run's hash."""
         ids = np.array([d for d, _ in self.texts], np.int64)[self.text] if len(self.texts) else self.text
         order = np.lexsort((ids, self.key))
         key, ids = self.key[order], ids[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
         if not len(first):
-            return key, first
+            return key, first, first
+        place = np.empty(len(key), np.int32)
+        place[order] = np.cumsum(new) - 1
         steps = np.concatenate([[0], (ids[1:] != ids[:-1]).astype(np.int64)])
         steps[first] = 0
-        return key[first], np.add.reduceat(steps, first)
+        return key[first], np.add.reduceat(steps, first), place
 
     def pieces(self, told: np.ndarray, shards: int) -> _Pieces:
         """Occurrences of repeated pieces and what is sent of them."""
-        state = told[np.searchsorted(self.keys()[0], self.key)] if len(self.key) else np.zeros(0, np.uint8)
+        state = told[self.keys[2]] if len(self.key) else np.zeros(0, np.uint8)
         return _Pieces(self, state, shards)
 
 
@@ -117,8 +122,8 @@ class _Pieces:
     """Repeated pieces of a pack.
 
     at: text, start, windows and piece of each occurrence. sent: (shard, content) in order, with its smallest document in
-    owners. A piece is sent as it is, or window by window if its hash is very common; parts and offsets tell for each window
-    of each piece (piece k from first[k] on) what it was sent in and as which window of that.
+    owners. A piece is sent as it is, or window by window if its hash is very common; windows_of tells for each window
+    of each piece (piece k from first[k] on) what it was sent in (parts) and as which window of that (offsets).
     """
 
     def __init__(self, pack: _Pack, state: np.ndarray, shards: int):
@@ -145,13 +150,20 @@ class _Pieces:
             names.append((len(windows), own))
         self.sent = sorted(owner)
         self.owners = np.array([owner[x] for x in self.sent], np.int64)
+        self.names = names
+
+    @cached_property
+    def windows_of(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """first, parts and offsets."""
         place = {x: k for k, x in enumerate(self.sent)}
-        count = np.array([n for n, _ in names], np.int64)
-        self.first = np.cumsum(count) - count
-        within = np.arange(count.sum()) - np.repeat(self.first, count)
-        single = np.array([len(own) == n for n, own in names], bool)
-        self.offsets = np.where(np.repeat(single, count), 0, within).astype(np.int32)
-        self.parts = np.fromiter((place[x] for n, own in names for x in (own if len(own) == n else own * n)), np.int32, int(count.sum()))
+        count = np.array([n for n, _ in self.names], np.int64)
+        own = np.array([len(own) for _, own in self.names], np.int64)
+        single = own == count  # sent window by window, or of one window
+        parts = np.fromiter((place[x] for _, own in self.names for x in own), np.int32, int(own.sum()))
+        first = np.cumsum(count) - count
+        within = np.arange(count.sum()) - np.repeat(first, count)
+        offsets = np.where(np.repeat(single, count), 0, within).astype(np.int32)
+        return first, np.repeat(parts, np.repeat(np.where(single, 1, count), own)), offsets
 
 
 def _asked(right: pa.Table, kind: int) -> dict[int, bytes]:
@@ -165,7 +177,7 @@ def _copies(right: pa.Table) -> set[tuple[int, bytes]]:
 
 def _repeated(p: _Pack, right: pa.Table, ranges: int) -> np.ndarray:
     """Per distinct hash: 0 in one document only, 1 repeated, 2 repeated very often."""
-    keys, told = p.keys()[0], _asked(right, 1)
+    keys, told = p.keys[0], _asked(right, 1)
     out = np.zeros(len(keys), np.uint8)
     for bucket, s in by_range(keys, ranges):
         out[s] = np.frombuffer(told[bucket], np.uint8)
@@ -185,7 +197,7 @@ def _hashes(ranges: int, size: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
         if left.num_rows:
-            keys, others = _Pack(left, _copies(right), size).keys()
+            keys, others, _ = _Pack(left, _copies(right), size).keys
             pack = left.column("pack")[0].as_py()
             for bucket, s in by_range(keys, ranges):
                 rows.append((bucket, pack, keys[s].tobytes(), np.minimum(others[s], 65_535).astype(np.uint16).tobytes(), None))
@@ -293,7 +305,8 @@ def _cleaned(ranges: int, shards: int, size: int, kind: pa.DataType, rest: pa.Da
             i, j = np.searchsorted(buckets, [b, b + 1]).tolist()
             a, e = first[i], first[j - 1] + windows[j - 1]
             bits[a:e] = np.unpackbits(np.frombuffer(told[b], np.uint8), count=int(e - a))
-        precedes, owner = bits[first[pieces.parts] + pieces.offsets] if len(pieces.parts) else bits, pieces.owners[pieces.parts]
+        start_of, parts, offsets = pieces.windows_of
+        precedes, owner = bits[first[parts] + offsets] if len(parts) else bits, pieces.owners[parts]
         length = np.array([len(raw) for _, raw in p.texts], np.int64)
         base = np.cumsum(length + 1) - (length + 1)
         edge = np.zeros(int((length + 1).sum()) + 1, np.int32)
@@ -302,7 +315,7 @@ def _cleaned(ranges: int, shards: int, size: int, kind: pa.DataType, rest: pa.Da
             text, start, n, piece = (x[i : i + CHUNK] for x in pieces.at)
             rows = np.repeat(np.arange(len(n)), n)
             step = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
-            window = pieces.first[piece[rows]] + step
+            window = start_of[piece[rows]] + step
             # the owner is another pack's document, or an earlier one of this pack
             gone = precedes[window] | (owner[window] < ids[text[rows]])
             where = (base[text[rows]] + start[rows] + step)[gone]
