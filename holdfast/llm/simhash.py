@@ -24,10 +24,9 @@ alone. No driver or task holds more than 64 x 64 bit counts, the slices' histogr
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import partial
 from itertools import combinations
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.llm.components import components
-from holdfast.llm.packs import mix
 from holdfast.sources.storage import ensure_checkpoint_dir
 
 BITS, BLOCK = 64, 65_536
 SEED = 42
-COMMON, SAMPLE, FEW = 500_000, 8, 200_000  # at most as many frequent shingles are told apart; texts for one counted; nodes that are broadcast
-ROUNDS, PAIRS = 8, 4  # heads of a bucket before all its pairs are compared; pairs for each of its rows that are compared at once
 
 
 def fingerprint(raw: bytes, shingle: int = 3) -> int:
@@ -249,197 +245,22 @@ def report(docs: DataFrame) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def shingle_hashes(raw: bytes, shingle: int) -> np.ndarray:
-    """Sorted distinct hashes of a text's word shingles: one for fewer words than a shingle, none without words."""
-    w = raw.lower().split()
-    width = min(shingle, len(w))
-    h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), w), np.uint64, len(w))
-    n = len(w) - width + 1 if w else 0
-    made = h[:n]
-    for k in range(1, width):
-        made = mix(made) + h[k : n + k]
-    return np.unique(mix(made))
-
-
-def _name(hashes: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(hashes.tobytes(), SEED)
-
-
-def _hashed(docs: DataFrame, text_col: str, shingle: int, make, schema: str) -> DataFrame:
-    """make(list of hash sets) -> columns, over the batches of a table's texts."""
-    lean = docs.select(F.col(f"`{text_col}`").cast("binary").alias("raw"))
-    names = [x.split()[0] for x in schema.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(0, len(b), 1000):
-                cols = make([shingle_hashes(x.as_py() or b"", shingle) for x in b.column(0).slice(i, 1000)])
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
-
-    return lean.mapInArrow(run, schema)
-
-
-def _short(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
-
-
-def common_shingles(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """The upper halves of the COMMON most frequent shingle hashes, sorted, and how often they occur.
-
-    They only make the order of shingles, for which any numbers do, so one text in SAMPLE is counted.
-    """
-
-    def make(sets: list[np.ndarray]) -> list[np.ndarray]:
-        value, n = np.unique(_short(np.concatenate(sets)), return_counts=True)
-        return [value, n]
-
-    some = docs.filter(F.pmod(F.xxhash64(F.col(f"`{text_col}`")), F.lit(SAMPLE)) == 0)
-    counted = _hashed(some, text_col, shingle, make, "half int, n bigint").groupBy("half").agg(F.sum("n").alias("n"))
-    top = counted.filter("n > 2").orderBy(F.desc("n"), "half").limit(COMMON).toArrow()
-    half, n = (top.column(c).to_numpy() for c in ("half", "n"))
-    order = np.argsort(half)
-    return half[order], n[order]
-
-
-def prefixes(docs: DataFrame, text_col: str, shingle: int, similarity: float) -> DataFrame:
-    """(token, node, pos, size): the rarest shingles of each text, as many as two similar texts must share one of."""
-    sent = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text_col, shingle))
-
-    def make(sets: list[np.ndarray]) -> list[np.ndarray]:
-        half, often = sent.value
-        parts = [[np.zeros(0, np.int64)] * 4]
-        for name, h in {_name(h): h for h in sets}.items():
-            if not len(h):
-                continue
-            n = np.zeros(len(h), np.int64)
-            if len(half):
-                mine = _short(h)
-                at = np.minimum(np.searchsorted(half, mine), len(half) - 1)
-                n = np.where(half[at] == mine, often[at], 0)
-            first = np.lexsort((h, n))[: len(h) - _least(similarity, len(h)) + 1]
-            parts.append([h[first].view(np.int64), np.full(len(first), name, np.uint64).view(np.int64), np.arange(len(first)), np.full(len(first), len(h))])
-        token, node, pos, size = (np.concatenate(c) for c in zip(*parts, strict=True))
-        return [token, node, pos.astype(np.int32), size.astype(np.int32)]
-
-    return _hashed(docs, text_col, shingle, make, "token bigint, node bigint, pos int, size int")
-
-
-def _least(share: float, n: int) -> int:
-    """Smallest whole number that is `share` of n or more."""
-    return ceil(share * n - 1e-9)
-
-
-def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets of shingle hashes have a Jaccard similarity of `similarity` or more, exactly."""
-    side = lambda c: sets.select(F.col("node").alias(c), F.col("hashes").alias(f"{c}_set"))
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    held = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("both", both)
-    return held.filter(F.col("both") >= similarity * (F.size("a_set") + F.size("b_set") - F.col("both")) - 1e-9).select("a", "b")
-
-
-def _may(similarity: float):
-    """Lossless conditions on members x and y of a bucket: sizes, and the prefixes that two sets of such sizes must share a token of."""
-    need = F.ceil(similarity / (1 + similarity) * (F.col("x.size") + F.col("y.size")) - 1e-9)
-    sizes = F.least("x.size", "y.size") >= similarity * F.greatest("x.size", "y.size") - 1e-9
-    return sizes & (F.col("x.pos") + need <= F.col("x.size")) & (F.col("y.pos") + need <= F.col("y.size"))
-
-
-def _ordered() -> list:
-    return [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
-
-
-def _linked(buckets: DataFrame, sets: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
-    """(node, root) of all nodes with a similar one.
-
-    Every pair of a bucket is compared or already in one component. While those not yet compared are many (copies of one text by
-    the thousand), each bucket has a head, the member in most buckets of its smallest component: it is compared with all members
-    of other components and leaves the bucket. Then, or after ROUNDS heads, all pairs left are compared.
-    """
-    degree = buckets.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    left, roots, found = buckets.join(degree, "node").checkpoint(), None, None
-    bound = PAIRS * left.count()
-    for k in range(ROUNDS + 1):
-        if roots is not None:
-            left = left.join(roots, "node", "left")
-        here = left.withColumn("root", F.coalesce("root", "node") if roots is not None else F.col("node")).checkpoint()
-        parts = here.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("degree", "node")).alias("top"))
-        first = F.min_by("top.node", F.struct("n", -F.col("top.degree"), "root"))
-        open_ = parts.groupBy("token").agg(
-            first.alias("head"), F.count(F.lit(1)).alias("roots"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")
-        ).filter("roots > 1").select("token", "head", "pairs").checkpoint()
-        pairs = open_.agg(F.sum("pairs")).first()[0] or 0
-        last = pairs <= bound or k == ROUNDS
-        here = here.join(open_.select("token", "head"), "token").checkpoint()
-        ends = (F.col("x.node") < F.col("y.node")) if last else (F.col("y.node") == F.col("y.head"))
-        met = here.alias("x").join(here.alias("y") if last else here.filter("node = head").alias("y"), "token")
-        met = met.filter(ends & (F.col("x.root") != F.col("y.root")) & _may(similarity)).select(*_ordered()).distinct().checkpoint()
-        nodes = met.select(F.explode(F.array("a", "b")).alias("node")).distinct().checkpoint()
-        new = _similar(met, sets(nodes), similarity).checkpoint()
-        found = new if found is None else found.unionByName(new)
-        roots = components(found)
-        if last:
-            return roots
-        left = here.filter("node <> head").select("token", "node", "pos", "size", "degree")
-
-
-def _sets(docs: DataFrame, text_col: str, shingle: int, nodes: DataFrame) -> DataFrame:
-    """(node, hashes) of the given nodes."""
-
-    def make(sets: list[np.ndarray]) -> list:
-        return [np.array([_name(h) for h in sets], np.uint64).view(np.int64), [h.view(np.int64) for h in sets]]
-
-    held = _hashed(docs, text_col, shingle, make, "node bigint, hashes array<bigint>")
-    few = nodes.count() <= FEW
-    return held.join(F.broadcast(nodes) if few else nodes, "node", "left_semi").groupBy("node").agg(F.first("hashes").alias("hashes")).checkpoint()
-
-
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(id, component): documents linked by a Jaccard similarity of `similarity` or more of their sets of word shingles.
-
-    No similar pair is lost: two such sets share one of the few shingles that come first in an order common to all texts, rare
-    ones before frequent ones (prefix filter). Texts that share one are compared by their whole sets of shingle hashes.
-    Texts with equal sets are one node; texts without words have the empty set and are one too.
-    """
-    placed = _placed(docs, id_col, text_col, shingle, similarity)
-    return placed.join(placed.groupBy("root").agg(F.min("id").alias("component")), "root").select("id", "component")
-
-
 def _digest(text_col: str):
     """Tells texts apart; NULL is not the empty text."""
     return F.coalesce(F.sha2(F.col(f"`{text_col}`").cast("binary"), 256), F.lit(""))
 
 
-def _placed(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
-    """(id, digest, node, root) of every row."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    lean = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("raw"), _digest(text_col).alias("digest"))
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            name = np.fromiter((_name(shingle_hashes(x.as_py() or b"", shingle)) for x in b.column(1)), np.uint64, len(b))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(name.view(np.int64))], names=["id", "digest", "node"])
-
-    rows = lean.mapInArrow(named, f"id {lean.schema['id'].dataType.simpleString()}, digest string, node bigint").checkpoint()
-    # by token alone: what follows needs no other shuffle
-    tokens = prefixes(docs, text_col, shingle, similarity).repartition("token").distinct()
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
-    buckets = tokens.join(shared, "token").checkpoint()
-    roots = _linked(buckets, lambda nodes: _sets(docs, text_col, shingle, nodes), similarity)
-    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-
-def deduplicated(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8
-) -> DataFrame:
-    """One document of each group of near copies (see `near_copies`), that with the smallest identifier, all columns as they are.
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most: int = 2) -> DataFrame:
+    """One document of each group of `near_duplicates`, that with the smallest identifier, all columns as they are.
 
     A NULL identifier comes after all others; of texts under one identifier that with the smallest digest stays. Rows are judged
-    by identifier and text: other texts of an identifier stay, and of rows equal in both one stays.
+    by identifier and text: an unlike text under the identifier of a copy stays, and of rows equal in both one stays. Texts without
+    words have one fingerprint and are one group. An empty table stays empty.
     """
-    placed = _placed(docs, id_col, text_col, shingle, similarity).select("root", F.struct(F.col("id").isNull().alias("none"), "id", "digest").alias("row"))
-    placed = placed.distinct()
-    gone = placed.join(placed.groupBy("root").agg(F.min("row").alias("kept")), "root").filter(~F.col("row").eqNullSafe(F.col("kept")))
-    gone = gone.select(F.col("row.id").alias("gone_id"), F.col("row.digest").alias("gone_digest"))
-    told = docs.withColumn("_digest", _digest(text_col))
-    first = told.join(gone, told[id_col].eqNullSafe(gone["gone_id"]) & (told["_digest"] == gone["gone_digest"]), "left_anti")
-    return first.dropDuplicates([id_col, "_digest"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    name, digest = F.col(f"`{id_col}`"), _digest(text_col)
+    row = F.struct(name.isNull().alias("none"), name.alias("id"), digest.alias("digest")).alias("row")
+    found = near_duplicates(docs.select(row, F.col(f"`{text_col}`").alias("text")), "row", "text", shingle, most)
+    gone = found.filter(F.col("id") != F.col("component")).select(F.col("id.id").alias("gone_id"), F.col("id.digest").alias("gone_digest"))
+    told = docs.withColumn("__digest", digest)
+    left = told.join(gone.distinct(), name.eqNullSafe(F.col("gone_id")) & (F.col("__digest") == F.col("gone_digest")), "left_anti")
+    return left.dropDuplicates([id_col, "__digest"]).select(*(F.col(f"`{c}`") for c in docs.columns))

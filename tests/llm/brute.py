@@ -100,21 +100,6 @@ def components(prints, most=2):
     return {d: find(d) for d in ids}
 
 
-def near_copies(texts, shingle=5, similarity=0.8):
-    """{doc_id: text} -> {doc_id: smallest identifier reachable over pairs with that Jaccard similarity of their shingles}."""
-    sets = {}
-    for d, t in texts.items():
-        w = SPACED.findall(low(t))
-        sets[d] = {tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} if w else set()
-    root = {d: d for d in sets}
-    for a in sorted(sets):
-        for b in sorted(sets):
-            if a < b and (sets[a] == sets[b] or len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9) and root[a] != root[b]:
-                x, y = sorted((root[a], root[b]))
-                root = {d: x if r == y else r for d, r in root.items()}
-    return root
-
-
 def substrings(texts, size=50):
     """{doc_id: text} -> {doc_id: (n_bytes, n_removed, n_spans, kept_sha256)}."""
     first, raw = {}, {d: (t or "").encode() for d, t in texts.items()}

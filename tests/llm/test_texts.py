@@ -85,78 +85,18 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_near_copies_of_long_texts(spark):
-    rnd = random.Random(3)
-    word = lambda: "".join(rnd.choices("abcdefghij", k=6))
-    rows = []
-    for k in range(40):
-        w = [word() for _ in range(300)]
-        rows.append((2 * k, " ".join(w)))
-        for i in rnd.sample(range(300), 2):
-            w[i] = word()
-        rows.append((2 * k + 1, " ".join(w)))
-    got = {r.id: r.component for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert sum(got[2 * k + 1] == 2 * k for k in range(40)) >= 36 and all(got[2 * k] == 2 * k for k in range(40))
-
-
-def _changed(rnd, words, share, how):
-    """A copy whose five-word shingles have about the given Jaccard similarity to the words' own."""
-    if how == "added":
-        return words + [_word(rnd) for _ in range(int(len(words) * (1 / share - 1)))]
-    words = list(words)
-    for i in rnd.sample(range(len(words)), max(1, int(len(words) * (1 - share) / (1 + share) / 5))):
-        words[i] = _word(rnd)
-    return words
-
-
 def _word(rnd):
     return "".join(rnd.choices("abcdefghij", k=6))
 
 
-def test_near_copies_with_added_or_replaced_words(spark, docs):
-    rnd, texts = random.Random(6), _texts(docs)
-    for k in range(120):
-        w = [_word(rnd) for _ in range(300)]
-        texts[20_000 + 2 * k] = " ".join(w)
-        texts[20_001 + 2 * k] = " ".join(_changed(rnd, w, (0.81, 0.85, 0.91)[k % 3], ("added", "replaced")[k % 2]))
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r.id: r.component for r in simhash.near_copies(df).collect()}
-    want = brute.near_copies(texts)
-    assert got == want and sum(want[20_001 + 2 * k] == 20_000 + 2 * k for k in range(120)) >= 110
-
-
-@pytest.mark.parametrize("pairs", [4, 0])
-def test_near_copies_among_texts_unlike_their_head(spark, monkeypatch, pairs):
-    monkeypatch.setattr(simhash, "PAIRS", pairs)  # 0: heads first
-    rnd = random.Random(7)
-    texts = {}
-    words = [_word(rnd) for _ in range(200)]
-    for k in range(6):  # the same words in other orders: equal word sets, no common shingles
-        order = rnd.sample(words, 200)
-        texts[10 * k] = " ".join(order)
-        for i in (1, 2):
-            at = 40 * i + k
-            texts[10 * k + i] = " ".join([*order[:at], order[at + 1], order[at], *order[at + 2 :]])
-    base = [_word(rnd) for _ in range(200)]
-    for i in range(30):  # similar to the last of them, not to each other
-        texts[100 + i] = " ".join(_changed(rnd, base, 0.86, "replaced"))
-    texts[130] = " ".join(base)
-    want = brute.near_copies(texts)
-    assert len(set(want.values())) == 7
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    assert {r.id: r.component for r in simhash.near_copies(df).collect()} == want
-
-
-def test_texts_below_the_similarity_are_no_near_copies(spark):
-    rnd, texts = random.Random(8), {}
-    for k in range(60):
-        w = [_word(rnd) for _ in range(300)]
-        texts[2 * k] = " ".join(w)
-        texts[2 * k + 1] = " ".join(_changed(rnd, w, (0.7, 0.74, 0.77)[k % 3], "replaced"))
-    want = brute.near_copies(texts)
-    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    assert {r.id: r.component for r in simhash.near_copies(df).collect()} == want
-    assert sum(want[2 * k + 1] != 2 * k for k in range(60)) > 50
+@pytest.mark.parametrize("clash", [False, True])
+def test_one_document_of_each_group_stays(docs, clash):
+    rows = docs if clash else docs.select("doc_id", "text")
+    texts = _texts(docs)
+    classes = brute.components({d: brute.fingerprint(t) for d, t in texts.items()})
+    kept = simhash.deduplicated(rows).collect()
+    assert {r.doc_id: r.text for r in kept} == {d: texts[d] for d in set(classes.values())}
+    assert len(kept) == len(set(classes.values())) < len(texts) and list(kept[0].asDict()) == rows.columns
 
 
 @pytest.mark.parametrize("hot", [1000, 10])
