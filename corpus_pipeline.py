@@ -1,4 +1,8 @@
-"""Corpus pipeline: quality rules, near copies, repeated passages, benchmark text, mix."""
+"""Corpus pipeline: quality rules, near copies, repeated passages, benchmark text, mix.
+
+Rows are judged by identifier and text, so NULL and repeated identifiers lose no other text; a NULL or empty text is rejected by the
+first stage. Further columns pass through, whatever they are called, and an empty table gives no rows in every stage.
+"""
 
 from __future__ import annotations
 
@@ -14,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest identifier of each group of near copies (five-word shingles, similarity 0.8)."""
-    return simhash.deduplicated(docs)
+    """The smallest identifier of each group linked by fingerprints of three-word shingles at two differing bits or fewer."""
+    return simhash.deduplicated(docs, shingle=3, most=2)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
