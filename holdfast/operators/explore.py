@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.operators.scan import running_totals
+from holdfast.operators.scan import running_totals, with_range_cells
 
 
 # exp(-REACH^2 / 2) is below 2^-53, the precision of a double.
@@ -125,9 +125,9 @@ def box_stats(df: DataFrame, label: str, measure: str) -> DataFrame:
     Quartiles interpolate linearly between ranks.  They are looked up in running
     counts of distinct values, so no task ever holds a whole group.
     """
-    values = _stack(df, label, [measure]).select("label", "value", "w")
+    values = with_range_cells(_stack(df, label, [measure]).select("label", "value", "w"), ["value"], "cell")
     ranked = running_totals(
-        values, ["value"], None, {"w": "sum"}, keys=["label"]
+        values, ["value"], F.col("cell"), {"w": "sum"}, keys=["label"]
     )
     placed = ranked.withColumnRenamed("all_w", "n").withColumn("before", F.col("cum_w") - F.col("w"))
 

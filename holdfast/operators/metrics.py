@@ -51,6 +51,17 @@ def roc_auc(
     return _ranked(df, score, label, bounds).agg(_roc_auc(digits))
 
 
+def roc_auc_by(df: DataFrame, key: str, score: str, label: str, digits: int = 8) -> DataFrame:
+    """(key, roc_auc): the exact area for each value of ``key``, all from one scan."""
+    groups = (
+        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+        .groupBy(F.col(key).alias("key"), F.col(score).cast("double").alias("s"))
+        .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    )
+    ranked = running_totals(groups, ["s"], None, {"pos": "sum", "neg": "sum"}, keys=["key"], descending=True)
+    return ranked.groupBy("key").agg(_roc_auc(digits)).withColumnRenamed("key", key)
+
+
 def avg_precision(
     df: DataFrame, score: str, label: str, digits: int = 8, bounds: Sequence[float] | None = None
 ) -> DataFrame:

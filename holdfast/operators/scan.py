@@ -6,6 +6,10 @@ cell is scanned on its own, the cell totals (one row per cell) are scanned in a
 small second window, and the two are added.  The result does not depend on how
 the cells are cut; only the balance of the work does.
 
+Where a caller knows no cells, the rows are range-partitioned along the order and
+a row's cell is its partition.  Spark samples the ranges from the shuffle that it
+has already made, so nothing is scanned twice, and merges ranges that are small.
+
 Both windows read the same table.  Where a caller uses every total it asks for,
 the two sides need the same columns and Spark shuffles that table only once.
 """
@@ -17,6 +21,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdfast.sources.storage import ensure_checkpoint_dir
+
 CELLS = 4096
 
 _AGG = {"sum": F.sum, "product": F.product}
@@ -34,15 +40,16 @@ def bounded_cells(col: Column, bounds: Sequence[float]) -> Column:
     return F.coalesce(sum((F.when(col >= F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0)), F.lit(0))
 
 
-def with_quantile_cells(df: DataFrame, column: str, name: str, n: int = 256) -> DataFrame:
-    """Add cells that hold about equally many rows each, whatever the values: cut at approximate quantiles.
+def with_range_cells(df: DataFrame, order: Sequence[str], name: str, parts: int | None = None) -> DataFrame:
+    """Add cells of about equally many rows, whatever the values: the partition of a range partitioning.
 
-    The quantiles are one row, found in the same query; rows of one value share a cell.
+    The rows are checkpointed with their cells.  Ranges are sampled, and a table that is planned twice might be cut in two
+    ways; so the cut is made once, and a lost executor cannot change it.
     """
-    value = F.col(column).cast("double")
-    bounds = df.agg(F.percentile_approx(value, [i / n for i in range(1, n)], 20 * n)).scalar()
-    at = F.coalesce(F.size(F.filter("__bounds", lambda b: b <= value)), F.lit(-1))
-    return df.withColumn("__bounds", bounds).withColumn(name, at).drop("__bounds")
+    ensure_checkpoint_dir(df.sparkSession)
+    by = [F.col(c) for c in order]
+    ranged = df.repartitionByRange(*by) if parts is None else df.repartitionByRange(parts, *by)
+    return ranged.withColumn(name, F.spark_partition_id()).checkpoint()
 
 
 def hash_cells(hexdigest: Column, digits: int = 3) -> Column:
@@ -57,15 +64,15 @@ def running_totals(
     totals: Mapping[str, str],
     keys: Sequence[str] = (),
     descending: bool = False,
+    keep_cell: str | None = None,
 ) -> DataFrame:
     """Add ``cum_<c>`` and ``all_<c>`` for each column of ``totals`` (column -> 'sum' or 'product').
 
     ``cum_`` is the running value, the row itself included; ``all_`` that of the
-    whole group.  Without ``cell`` the work is cut at quantiles of the first column
-    of ``order``.  ``keys`` must not be NULL and ``order`` must be unique within
-    them.  ``descending`` runs from the largest value down.
+    whole group.  Without ``cell`` the work is cut into ranges of ``order``.  ``keys`` must not be NULL and ``order`` must be unique within
+    them.  ``descending`` runs from the largest value down.  ``keep_cell`` names a column that returns the cells, for a second scan.
     """
-    df = with_quantile_cells(df, order[0], "__cell") if cell is None else df.withColumn("__cell", cell)
+    df = with_range_cells(df, order, "__cell") if cell is None else df.withColumn("__cell", cell)
     way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     inside = (
         Window.partitionBy(*keys, "__cell").orderBy(*[way(c) for c in order])
@@ -93,6 +100,7 @@ def running_totals(
     joined = local.join(offsets, on)
     return joined.select(
         *[c for c in df.columns if c != "__cell"],
+        *([F.col("__cell").alias(keep_cell)] if keep_cell else []),
         *[(F.col(f"__l_{c}") + F.col(f"__o_{c}") if how == "sum"
            else F.col(f"__l_{c}") * F.col(f"__o_{c}")).alias(f"cum_{c}")
           for c, how in totals.items()],

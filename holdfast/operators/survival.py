@@ -27,7 +27,7 @@ def _curve(df: DataFrame, stratum: str, duration: str, event: str) -> DataFrame:
     # The total of d is read as well, so that both sides of the scan need the same
     # columns and Spark shuffles the table once for the two of them.
     at_risk = running_totals(
-        times, ["t"], None, {"n": "sum", "d": "sum"}, keys=["stratum"], descending=True
+        times, ["t"], None, {"n": "sum", "d": "sum"}, keys=["stratum"], descending=True, keep_cell="cell"
     ).where(F.col("all_d") >= 0)
     none = F.lit(0).cast("bigint")
 
@@ -37,11 +37,12 @@ def _curve(df: DataFrame, stratum: str, duration: str, event: str) -> DataFrame:
     # The shortest duration has everyone at risk; it also yields the start of its curve.
     start = F.when(F.col("cum_n") == F.col("all_n"), point(F.lit(0.0), none, F.lit(1.0)))
     step = F.when(F.col("d") > 0, point(F.col("t"), F.col("d"), 1 - F.col("d") / F.col("cum_n")))
+    # The start lies before all times of its cell, so the cells of the first scan serve the second.
     points = at_risk.select(
-        "stratum", F.explode(F.array_compact(F.array(start, step))).alias("p")
-    ).select("stratum", "p.*")
+        "stratum", "cell", F.explode(F.array_compact(F.array(start, step))).alias("p")
+    ).select("stratum", "cell", "p.*")
     return running_totals(
-        points, ["t"], None, {"keep": "product"}, keys=["stratum"]
+        points, ["t"], F.col("cell"), {"keep": "product"}, keys=["stratum"]
     ).select("stratum", "t", "n_at_risk", "d", F.col("cum_keep").alias("survival"))
 
 

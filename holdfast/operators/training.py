@@ -5,14 +5,13 @@ from __future__ import annotations
 import random
 import statistics
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -21,13 +20,14 @@ from holdfast.functions.rules import DECISION_THRESHOLD, with_segments
 from holdfast.operators import metrics
 from holdfast.operators.sampling import SEED, stratified_folds, stratified_split
 from holdfast.operators.segments import class_weight
+from holdfast.operators.stages import Reading, leaf_sums, leaves, penalised, readings_scored, refitted, with_leaves
 from holdfast.schema import Roles, split_by_type
 from holdfast.sources.storage import ensure_checkpoint_dir
 
 FEATURES, WEIGHT = "features", "__weight"
 
-# The tuned model, and the lists the search draws from.  Spark's trees
-# have no L1 / L2 penalty on leaves; ``spark_params`` translates the other names.
+# The tuned model, and the lists the search draws from. ``spark_params``
+# translates the names; the penalties are applied to the leaves afterwards (see ``stages``).
 MODEL_PARAMS: dict[str, object] = {
     "maxIter": 400, "maxDepth": 2, "stepSize": 0.05,
     "subsamplingRate": 0.9, "featureSubsetStrategy": "0.8",
@@ -40,7 +40,11 @@ SEARCH_SPACE: dict[str, list] = {
     "featureSubsetStrategy": ["0.8", "0.9", "1.0"],
     "min_child_weight": [1, 2, 3, 5],
     "gamma": [0.0, 0.1, 0.2],
+    "reg_lambda": [1.0, 1.5, 2.0],
+    "reg_alpha": [0.0, 0.05, 0.1],
 }
+# What a draw sets after the trees have grown.
+READ = ("maxIter", "reg_lambda", "reg_alpha")
 
 
 def spark_params(draw: Mapping[str, object], rows: int) -> dict[str, object]:
@@ -152,7 +156,7 @@ def classifier(roles: Roles = Roles(), seed: int = SEED, **params: object) -> GB
     settings = {**MODEL_PARAMS, **params}
     return GBTClassifier(
         featuresCol=FEATURES, labelCol=roles.label, weightCol=WEIGHT, lossType="logistic",
-        seed=seed, checkpointInterval=10, **settings,
+        seed=seed, checkpointInterval=10, cacheNodeIds=True, maxMemoryInMB=512, **settings,
     )
 
 
@@ -171,19 +175,30 @@ def _encoded(df: DataFrame, encoder: PipelineModel, roles: Roles, weight: float,
     )
 
 
+def grow(train: DataFrame, roles: Roles, seed: int, rows: int, **params: object) -> GBTClassificationModel:
+    """Boosted trees over encoded rows, cached meanwhile as every tree reads them; leaves with the penalties asked for."""
+    l1, l2 = (float(params.pop(k, 0.0)) for k in ("reg_alpha", "reg_lambda"))
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        trees = classifier(roles, seed, **spark_params(params, rows)).fit(train)
+        if not l1 and not l2:
+            return trees
+        plain = leaves(trees, train)
+        sums = leaf_sums(with_leaves(train, trees, roles.label, WEIGHT), plain, roles.label, WEIGHT)
+        return refitted(trees, penalised(plain, sums, l1, l2), train)
+    finally:
+        train.unpersist()
+
+
 def fit(df: DataFrame, roles: Roles = Roles(), seed: int = SEED, **params: object) -> PipelineModel:
     """Fit encoder and boosted trees; positives weigh negatives / positives.
 
-    The encoded rows are cached while the trees are grown: every tree reads them.
+    ``params`` are those of Spark's classifier or of ``SEARCH_SPACE``.
     """
     ensure_checkpoint_dir(df.sparkSession)
     encoder = fit_features(df, roles)
-    _, weight = label_balance(df, roles.label)
-    train = _encoded(df, encoder, roles, weight).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        trees = classifier(roles, seed, **params).fit(train)
-    finally:
-        train.unpersist()
+    n, weight = label_balance(df, roles.label)
+    trees = grow(_encoded(df, encoder, roles, weight), roles, seed, n, **params)
     return PipelineModel(stages=[*encoder.stages, trees])
 
 
@@ -263,21 +278,6 @@ def load(path: str) -> PipelineModel:
 
 # --- search --------------------------------------------------------------------------
 
-class ExactRocAuc(Evaluator):
-    """Search criterion: the exact area, where Spark's own evaluator bins the scores."""
-
-    def __init__(self, label: str):
-        super().__init__()
-        self.label = label
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        scored = dataset.select(positive_probability().alias("score"), self.label)
-        return metrics.roc_auc(scored, "score", self.label).first()[0] or 0.0
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
 def draw_params(n: int, seed: int = SEED, space: Mapping[str, Sequence] = SEARCH_SPACE) -> list[dict]:
     """``n`` different combinations of the lists in ``space``, drawn with a seed."""
     total = 1
@@ -306,39 +306,97 @@ class Tuned:
         return max(range(len(self.averages)), key=self.averages.__getitem__)
 
 
+def grown(draws: Sequence[Mapping]) -> dict[tuple, list[int]]:
+    """Draws that differ only in what is set after growing, by the parameters they share."""
+    groups: dict[tuple, list[int]] = {}
+    for i, draw in enumerate(draws):
+        groups.setdefault(tuple(sorted((k, v) for k, v in draw.items() if k not in READ)), []).append(i)
+    return groups
+
+
+def _reading(draw: Mapping[str, object]) -> Reading:
+    return Reading(int(draw.get("maxIter", MODEL_PARAMS["maxIter"])), float(draw.get("reg_alpha", 0.0)), float(draw.get("reg_lambda", 0.0)))
+
+
+def _fold_areas(
+    train: DataFrame, held: DataFrame, shared: Mapping[str, object], draws: Sequence[Mapping], rows: int, roles: Roles, seed: int
+) -> list[float]:
+    """ROC-AUC on encoded ``held`` of draws that share how trees grow: one fit of the longest, read in all their ways."""
+    readings = [_reading(d) for d in draws]
+    longest = max(r.trees for r in readings)
+    trees = classifier(roles, seed, **spark_params({**shared, "maxIter": longest}, rows)).fit(train)
+    # a fit may end early, where no split gains anything
+    readings = [Reading(min(r.trees, trees.getNumTrees), r.l1, r.l2) for r in readings]
+    plain = leaves(trees, train)
+    sums = None
+    tables = {(0.0, 0.0): plain}
+    for r in readings:
+        if (r.l1, r.l2) not in tables:
+            if sums is None:
+                sums = leaf_sums(with_leaves(train, trees, roles.label, WEIGHT), plain, roles.label, WEIGHT).persist()
+            tables[r.l1, r.l2] = penalised(plain, sums, r.l1, r.l2)
+    if sums is not None:
+        sums.unpersist()
+    scored = readings_scored(
+        with_leaves(held, trees, roles.label), [tables[r.l1, r.l2] for r in readings], readings, [roles.label])
+    long = scored.select(roles.label, F.posexplode("scores").alias("reading", "score"))
+    found = {r["reading"]: r["roc_auc"] for r in metrics.roc_auc_by(long, "reading", "score", roles.label).collect()}
+    return [found.get(i) or 0.0 for i in range(len(draws))]
+
+
 def tune(
     df: DataFrame, roles: Roles = Roles(), drop: Sequence[str] = (), n_iter: int = 20, folds: int = 5,
     test_fraction: float = 0.2, seed: int = SEED, threshold: float = DECISION_THRESHOLD,
     space: Mapping[str, Sequence] = SEARCH_SPACE, parallelism: int = 4, path: str | None = None,
 ) -> Tuned:
-    """Randomised search by cross-validated ROC-AUC, refit on all training rows."""
+    """Randomised search by cross-validated ROC-AUC, refit on all training rows.
+
+    Each fold fits its encoder and class weight on its own training rows.  Draws that differ only in the number of trees and in
+    leaf penalties share one fit per fold.  ``parallelism`` fits run at a time.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     rows, held, split = _train_and_holdout(df, roles, drop, test_fraction, seed)
     draws = draw_params(n_iter, seed, space)
-    trees = classifier(roles, seed)
+    groups = grown(draws)
+    areas: list[list[float]] = [[] for _ in draws]
     try:
-        n, weight = label_balance(rows, roles.label)
-        encoder = fit_features(rows, roles)
-        folded = stratified_folds(rows, roles.id, roles.label, folds, seed)
-        encoded = _encoded(folded, encoder, roles, weight, "fold").persist(StorageLevel.MEMORY_AND_DISK)
-        search = CrossValidator(
-            estimator=trees, evaluator=ExactRocAuc(roles.label), numFolds=folds, foldCol="fold",
-            estimatorParamMaps=[
-                {trees.getParam(k): v for k, v in spark_params(d, n).items()} for d in draws
-            ],
-            parallelism=parallelism,
-        )
+        folded = stratified_folds(rows, roles.id, roles.label, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            found = search.fit(encoded)
+            for k in range(folds):
+                train, test, n = _encoded_fold(folded, k, roles)
+                train.persist(StorageLevel.MEMORY_AND_DISK)
+                test.persist(StorageLevel.MEMORY_AND_DISK)
+                try:
+                    with ThreadPoolExecutor(parallelism) as pool:
+                        done = [
+                            (own, pool.submit(_fold_areas, train, test, dict(shared), [draws[i] for i in own], n, roles, seed))
+                            for shared, own in groups.items()
+                        ]
+                    for own, job in done:
+                        for i, area in zip(own, job.result()):
+                            areas[i].append(area)
+                finally:
+                    train.unpersist()
+                    test.unpersist()
         finally:
-            encoded.unpersist()
-        model = PipelineModel(stages=[*encoder.stages, found.bestModel])
+            folded.unpersist()
+        averages = [statistics.fmean(a) for a in areas]
+        best = draws[max(range(len(draws)), key=averages.__getitem__)]
+        model = fit(rows, roles, seed, **best)
         quality = evaluate(probabilities(held, model), roles, threshold=threshold)
     finally:
         split.unpersist()
     if path is not None:
         save(model, path)
-    return Tuned(model, draws, list(found.avgMetrics), list(found.stdMetrics), quality)
+    return Tuned(model, draws, averages, [statistics.pstdev(a) for a in areas], quality)
+
+
+def _encoded_fold(folded: DataFrame, k: int, roles: Roles) -> tuple[DataFrame, DataFrame, int]:
+    """Training and held rows of a fold, encoded by what the training rows alone tell, and the number of the former."""
+    train, held = (folded.where(c).drop("fold") for c in (F.col("fold") != k, F.col("fold") == k))
+    n, weight = label_balance(train, roles.label)
+    encoder = fit_features(train, roles)
+    return _encoded(train, encoder, roles, weight), _encoded(held, encoder, roles, weight), n
 
 
 def search_report(df: DataFrame, tuned: Tuned) -> DataFrame:
@@ -357,20 +415,16 @@ def cross_validate(
 ) -> DataFrame:
     """(metric, mean, std) of ROC-AUC, average precision and recall over stratified folds."""
     ensure_checkpoint_dir(df.sparkSession)
-    framed = model_frame(df, roles, drop)
-    encoder = fit_features(framed, roles)
-    folded = stratified_folds(framed, roles.id, roles.label, folds, seed)
-    _, weight = label_balance(framed, roles.label)
-    encoded = _encoded(folded, encoder, roles, weight, "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    folded = stratified_folds(model_frame(df, roles, drop), roles.id, roles.label, folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
     results = []
     try:
         for k in range(folds):
-            trees = classifier(roles, seed, **params).fit(encoded.where(F.col("fold") != k))
-            held = trees.transform(encoded.where(F.col("fold") == k)).select(
-                roles.label, positive_probability().alias("score"))
-            results.append(evaluate(held, roles, threshold=threshold))
+            train, held, n = _encoded_fold(folded, k, roles)
+            trees = grow(train, roles, seed, rows=n, **params)
+            scored = trees.transform(held).select(roles.label, positive_probability().alias("score"))
+            results.append(evaluate(scored, roles, threshold=threshold))
     finally:
-        encoded.unpersist()
+        folded.unpersist()
     rows = []
     for name in ("recall", "roc_auc", "avg_precision"):
         values = [r[name] for r in results if r[name] is not None]

@@ -42,3 +42,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this code made and nothing reads any more."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def replaced(spark: SparkSession, new: str, old: str) -> None:
+    """Put a folder in the place of another."""
+    files, target = _file_system(spark, old)
+    files.delete(target, True)
+    if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(new), target):
+        raise OSError(f"{new} could not be moved to {old}")

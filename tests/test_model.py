@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from holdfast.operators import scoring, training
+from holdfast.operators import scoring, stages, training
 from holdfast.operators.attribution import LOG_ODDS, Explainer, LeafRules, _attribute, _groups
 from holdfast.plans import catalog
 from holdfast.plans.catalog import ROLES
@@ -75,6 +75,68 @@ def test_search(spark, customers):
     assert best["mean_roc_auc"] == max(r["mean_roc_auc"] for r in report) > 0.6
 
 
+@pytest.fixture(scope="module")
+def encoded(customers):
+    frame = training.model_frame(customers, ROLES, NOT_FEATURES)
+    encoder = training.fit_features(frame, ROLES)
+    rows = training._encoded(frame, encoder, ROLES, 2.0, "account_id").persist()
+    yield rows, training.classifier(ROLES, maxIter=6, maxDepth=3).fit(rows)
+    rows.unpersist()
+
+
+def test_an_ensemble_holds_its_shorter_ones(encoded):
+    rows, trees = encoded
+    table = stages.leaves(trees, rows)
+    readings = [stages.Reading(n) for n in (2, 4, 6)]
+    placed = stages.with_leaves(rows, trees, "account_id")
+    got = {r[0]: r[1] for r in stages.readings_scored(placed, [table] * 3, readings, ["account_id"]).collect()}
+    for k, n in enumerate((2, 4, 6)):
+        own = trees if n == 6 else training.classifier(ROLES, maxIter=n, maxDepth=3).fit(rows)
+        alone = own.transform(rows).select("account_id", training.positive_probability().alias("p")).collect()
+        assert max(abs(got[r["account_id"]][k] - r["p"]) for r in alone) < 1e-12
+
+
+def test_penalised_leaves(encoded):
+    rows, trees = encoded
+    table = stages.leaves(trees, rows)
+    placed = stages.with_leaves(rows, trees, "churned", training.WEIGHT).persist()
+    sums = {(r["tree"], r["leaf"]): r for r in stages.leaf_sums(placed, table, "churned", training.WEIGHT).collect()}
+    plain = {}
+    for r in placed.collect():
+        margin = 0.0
+        for t, leaf in enumerate(r["leaf"]):
+            p = 1 / (1 + math.exp(-2 * margin))
+            n, g, h = plain.get((t, int(leaf)), (0, 0.0, 0.0))
+            plain[t, int(leaf)] = n + 1, g + r[training.WEIGHT] * (p - r["churned"]), h + r[training.WEIGHT] * p * (1 - p)
+            margin += table.values[t, int(leaf)]
+    assert set(sums) == set(plain)
+    for k, (n, g, h) in plain.items():
+        assert sums[k]["n"] == n and sums[k]["g"] == pytest.approx(g, abs=1e-8) and sums[k]["h"] == pytest.approx(h)
+    l1, l2 = 5.0, 20.0
+    cut = stages.penalised(table, stages.leaf_sums(placed, table, "churned", training.WEIGHT), l1, l2)
+    for (t, leaf), (_, g, h) in plain.items():
+        want = table.values[t, leaf] * max(abs(g) - l1, 0) / abs(g) * h / (h + l2)
+        assert cut.values[t, leaf] == pytest.approx(want, abs=1e-12)
+    assert np.abs(cut.values).sum() < np.abs(table.values).sum()
+    # the stored model and the readings agree
+    model = stages.refitted(trees, cut, rows)
+    told = stages.readings_scored(stages.with_leaves(rows, trees, "account_id"), [cut], [stages.Reading(6)], ["account_id"])
+    both = model.transform(rows).select("account_id", training.positive_probability().alias("p")).join(told, "account_id")
+    assert both.agg(F.max(F.abs(F.col("p") - F.col("scores")[0]))).first()[0] < 1e-12
+
+
+def test_draws_share_fits():
+    draws = training.draw_params(20, space=catalog.CHECK_SPACE)
+    groups = training.grown(draws)
+    assert len(draws) == 20 and len(groups) <= 4 and sorted(i for own in groups.values() for i in own) == list(range(20))
+
+
+def test_search_with_penalties(customers):
+    space = {"maxIter": [1, 2], "maxDepth": [1], "reg_lambda": [1.0, 50.0], "reg_alpha": [0.0, 0.1]}
+    tuned = training.tune(customers, ROLES, NOT_FEATURES, n_iter=8, folds=2, space=space)
+    assert len(tuned.averages) == 8 and min(tuned.averages) > 0.5 and tuned.metrics["roc_auc"] > 0.5
+
+
 def test_cross_validation(spark, customers):
     rows = training.cross_validate(customers, ROLES, NOT_FEATURES, folds=2, maxIter=1).collect()
     assert {r["metric"] for r in rows} == {"recall", "roc_auc", "avg_precision"}

@@ -123,7 +123,7 @@ def test_running_totals_do_not_depend_on_cells_or_partitions(spark, partitions):
 def test_cells_never_decrease(spark):
     values = [-1.0, 0.0, 1e-15, 1e-9, 0.001, 0.0010001, 0.3, 0.499999, 0.5, 0.500001, 0.7, 0.999, 1 - 1e-9, 1.0, 7.0]
     df = spark.createDataFrame([(v,) for v in values], "v double").orderBy("v")
-    for cut in (scan.with_quantile_cells(df, "v", "c"), df.withColumn("c", scan.even_cells(F.col("v"), 0, 1))):
+    for cut in (scan.with_range_cells(df, ["v"], "c", 8), df.withColumn("c", scan.even_cells(F.col("v"), 0, 1))):
         cells = [r[0] for r in cut.orderBy("v").select("c").collect()]
         assert cells == sorted(cells) and len(set(cells)) > 5
 
@@ -131,8 +131,8 @@ def test_cells_never_decrease(spark):
 @pytest.mark.parametrize(("lo", "hi"), [(1000.0, 1001.0), (0.300, 0.301), (-5e9, 5e-9)])
 def test_cells_are_even_for_any_range(spark, lo, hi):
     df = spark.range(200_000).select((F.lit(lo) + F.col("id") / 200_000 * (hi - lo)).alias("v"))
-    sizes = [r["count"] for r in scan.with_quantile_cells(df, "v", "c").groupBy("c").count().collect()]
-    assert len(sizes) > 200 and max(sizes) < 4 * 200_000 / 256
+    sizes = [r["count"] for r in scan.with_range_cells(df, ["v"], "c", 64).groupBy("c").count().collect()]
+    assert len(sizes) == 64 and max(sizes) < 3 * 200_000 / 64
 
 
 def test_running_totals_of_one_hot_key(spark):
