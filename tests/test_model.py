@@ -11,6 +11,7 @@ from holdfast.operators import scoring, stages, training
 from holdfast.operators.attribution import LOG_ODDS, Explainer, LeafRules, _attribute, _groups
 from holdfast.plans import catalog
 from holdfast.plans.catalog import ROLES
+from holdfast.schema import Roles
 from holdfast.sources.accounts import NOT_FEATURES
 
 
@@ -223,3 +224,23 @@ def test_points_pair_values_with_attributions(explained):
     got = {r["feature"]: r["value"] for r in dots}
     assert got == {"tenure": float(row["tenure"]), "contract_Two year": float(row["contract"] == "Two year")}
     assert LOG_ODDS == 2.0
+
+
+def test_attribution_of_thousands_of_slots(spark):
+    """Far more slots than rules: no dense row is made, and what no rule reads is zero."""
+    rng = np.random.default_rng(4)
+    rows = [(f"c{i}", f"level{i % 5000}", float(rng.integers(0, 60)), int(rng.random() < (0.8 if i % 7 == 0 else 0.2)), float(i % 7 == 0))
+            for i in range(10_000)]
+    df = spark.createDataFrame(rows, "id string, town string, tenure double, churned int, seven double")
+    roles = Roles(id="id", label="churned", tenure="tenure")
+    model = training.fit(df, roles, maxIter=3, maxDepth=2)
+    ex = Explainer.of(spark, model)
+    assert len(ex.names()) == 5002 and len(ex.read()) <= 9
+    few = df.limit(50)
+    assert ex.additivity_gap(few, "id").agg(F.max(F.abs("gap"))).first()[0] < 1e-9
+    assert ex.values(few, "id").count() == 50 * 5002
+    assert ex.global_drivers(df).count() == 5002 and ex.global_drivers(df, 1).first()["feature"] == "seven"
+    assert ex.customer_drivers(few, "id").groupBy("id").count().where("count <> 5").count() == 0
+    dots = ex.points(few, "id", ["seven", "town_level3"]).collect()
+    assert len(dots) == 100 and all(r["phi"] == 0 for r in dots if r["feature"] == "town_level3" and "town_level3" not in ex.read())
+    assert {r["id"]: r["value"] for r in dots if r["feature"] == "seven"} == {r["id"]: r["seven"] for r in few.collect()}
