@@ -70,7 +70,13 @@ def segment_summary(
     ``order`` lists output columns, ``-`` in front for descending; the keys are
     appended, so that the order, and what ``limit`` keeps, is always unique.
     """
-    grouped = df.groupBy(*keys).agg(*_base_aggregates(df, roles))
+    return summarised(df.groupBy(*keys).agg(*_base_aggregates(df, roles)), keys, metrics, order, limit)
+
+
+def summarised(
+    grouped: DataFrame, keys: Sequence[str], metrics: Mapping[str, str], order: Sequence[str] = (), limit: int | None = None
+) -> DataFrame:
+    """The metrics, order and limit of ``segment_summary`` over base aggregates."""
     out = grouped.select(*keys, *[METRICS[m]().alias(name) for name, m in metrics.items()])
     if order or limit is not None:
         named = [c.lstrip("-") for c in order]
@@ -82,11 +88,10 @@ def _direction(name: str) -> Column:
     return F.col(name[1:]).desc() if name.startswith("-") else F.col(name).asc()
 
 
-def kpis(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
-    """One row: overall rate, revenue at risk, size and rate of the high-risk group."""
+def _kpi_aggregates(roles: Roles) -> list[Column]:
     label, charge = F.col(roles.label), cents(roles.charge)
     high = F.col("risk_flag") == "High Risk"
-    agg = df.agg(
+    return [
         F.count(label).alias("rated"),
         F.sum(label.cast("bigint")).alias("hits"),
         F.sum(F.when(label == 1, charge).otherwise(0)).alias("risk"),
@@ -94,7 +99,15 @@ def kpis(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
         F.count_if(high).alias("high_n"),
         F.count(F.when(high, label)).alias("high_rated"),
         F.sum(F.when(high, label.cast("bigint"))).alias("high_hits"),
-    )
+    ]
+
+
+def kpis(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
+    """One row: overall rate, revenue at risk, size and rate of the high-risk group."""
+    return _kpis_of(df.agg(*_kpi_aggregates(roles)))
+
+
+def _kpis_of(agg: DataFrame) -> DataFrame:
     return agg.select(
         rate_pct(F.col("hits"), F.col("rated")).alias("overall_churn_rate_pct"),
         money(F.col("risk")).alias("monthly_revenue_at_risk"),
@@ -104,6 +117,30 @@ def kpis(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     )
 
 
+def grouped_sets(df: DataFrame, sets: Sequence[Sequence[str]], roles: Roles = Roles()) -> DataFrame:
+    """Aggregates of several groupings from one scan: every key (NULL where a grouping has it not), ``set`` as the grouping's
+    place in ``sets``, the base aggregates and, for a grouping without keys, those of ``kpis``.
+    """
+    keys = list(dict.fromkeys(k for s in sets for k in s))
+    # a grouping's number has a bit per key, the first key's highest, set where the key is not part of it
+    number = {sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in s): n for n, s in enumerate(sets)}
+    place = F.create_map(*(F.lit(x) for pair in number.items() for x in pair))
+    # keys stand apart from the columns they are made of, as those are aggregated too
+    told = df.withColumns({f"__key{i}": F.col(k) for i, k in enumerate(keys)})
+    sides = [[F.col(f"__key{keys.index(k)}") for k in s] for s in sets]
+    found = told.groupingSets(sides, *(F.col(f"__key{i}") for i in range(len(keys)))).agg(
+        F.grouping_id().cast("int").alias("__set"), *_base_aggregates(df, roles), *_kpi_aggregates(roles))
+    whole = {f"__key{i}": k for i, k in enumerate(keys)}
+    return found.withColumn("set", place[F.col("__set")]).drop("__set").withColumnsRenamed(whole)
+
+
+def kpis_of_set(found: DataFrame, place: int) -> DataFrame:
+    """``kpis`` from the grouping without keys; one row also where the table, and so every grouping, is empty."""
+    own = found.where(F.col("set") == place)
+    sums = [F.sum(c).alias(c) for c in ("rated", "hits", "risk", "risk_n", "high_rated", "high_hits")]
+    return _kpis_of(own.agg(*sums, F.coalesce(F.sum("high_n"), F.lit(0)).cast("bigint").alias("high_n")))
+
+
 def conditional_rates(df: DataFrame, conditions: Mapping[str, Column], roles: Roles = Roles()) -> DataFrame:
     """One row with the churn rate of each condition's rows; NULL where none match."""
     label = F.col(roles.label)

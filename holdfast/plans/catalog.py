@@ -119,6 +119,33 @@ def _ingest_csv_more(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_read_back(spark, path).select(*raw.columns))
 
 
+def _ingest_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of further columns of a file, which are whole, fractional or words by their values; blanks are NULL."""
+    raw = raw_customers(spark, sf_dir)
+    more = raw.withColumns({
+        "visits": F.when(F.col("tenure") % 5 != 0, F.col("tenure") * 3).cast("string"),
+        "spend": F.concat(F.lit(" "), F.col("monthly_charges").cast("string")),
+        "note": F.when(F.col("tenure") < 30, F.col("tenure").cast("string")).otherwise("many"),
+    })
+    df = tables.read_customers_csv(spark, _written_csv(more), ACCOUNT_CSV, infer=True)
+    kinds = dict(df.dtypes)
+    return df.agg(
+        *[F.lit(kinds[c]).alias(f"{c}_type") for c in ("visits", "spend", "note")],
+        F.count("visits").alias("visited"), F.sum("visits").cast("bigint").alias("visits"),
+        F.sum(F.round(F.col("spend") * 100).cast("bigint")).alias("spent"), F.count("note").alias("noted"))
+
+
+def _training_frame_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored join where some identifiers are NULL on both sides: segments by count."""
+    raw = customers(spark, sf_dir).select(*[c for c in ACCOUNT_CSV.fieldNames()])
+    unnamed = raw.withColumn("account_id", F.when(F.col("tenure") > 1, F.col("account_id")))
+    derived = rules.with_segments(unnamed.where("account_id IS NOT NULL"), ROLES).select("account_id", *tables.SEGMENTS)
+    none = raw.limit(1).select(
+        F.lit(None).cast(raw.schema["account_id"].dataType).alias("account_id"), *[F.lit("unnamed").alias(c) for c in tables.SEGMENTS])
+    stored = tables.store_training_frame(unnamed, derived.unionByName(none), fresh_path(spark, "training-frame"), ROLES)
+    return stored.groupBy("tenure_bucket", "risk_flag").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _persist_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = tables.write_table(customers(spark, sf_dir).select(*ROLES.feature_table_columns()),
                                 fresh_path(spark, "raw-table"))
@@ -187,6 +214,8 @@ def _sources() -> dict[str, Query]:
         "ingest_csv": _ingest_csv,
         "ingest_csv_shuffled": _ingest_csv_shuffled,
         "ingest_csv_more": _ingest_csv_more,
+        "ingest_csv_typed": _ingest_csv_typed,
+        "training_frame_nulls": _training_frame_nulls,
         "persist_raw": _persist_raw,
         "features": _features,
         "named_query": _named_query,
@@ -282,6 +311,8 @@ def _statistics() -> dict[str, Query]:
         "km_curve": _on_customers(lambda df: survival.km_curve(df, "contract", "tenure", "churned")),
         "km_median": _on_customers(lambda df: survival.km_median(df, "contract", "tenure", "churned")),
         "corr_matrix": _on_customers(lambda df: explore.correlation_matrix(df, ["senior", *three, "churned"])),
+        "kde_binned_check": _on_customers(_kde_binned_check),
+        "box_sketch_check": _on_customers(_box_sketch_check),
         "kde_by_label": _on_customers(lambda df: explore.density(df, "churned", three)),
         "scatter_points": _on_customers(lambda df: _plain(explore.scatter_points(
             df, "tenure", "monthly_charges", "churned"))),
@@ -429,6 +460,40 @@ def _points_check(ex: Explainer, df: DataFrame) -> DataFrame:
     return _checked(both, F.count_if(F.col("feature") == ex.names()[0]), (F.col("value") != F.col("x")) | (F.col("phi") != F.col("p")))
 
 
+def _kde_binned_check(df: DataFrame) -> DataFrame:
+    """Grid points of the binned densities, and how many differ from the exact ones in the sixth place."""
+    three = ["tenure", "monthly_charges", "total_charges"]
+    key = ["label", "measure", "i"]
+    exact = explore.density(df, "churned", three).select(*key, F.col("x").alias("at"), F.col("density").alias("want"))
+    both = explore.density(df, "churned", three, binned=True).join(exact, key, "full")
+    return _checked(both, F.count(F.lit(1)), (F.abs(F.col("density") - F.col("want")) > 1e-6) | (F.abs(F.col("x") - F.col("at")) > 1e-6))
+
+
+def _box_sketch_check(df: DataFrame) -> DataFrame:
+    """Quartiles of charges per contract and label from stored sketches, merged to labels: their ranks among the rows.
+
+    n: rows; a mismatch is a quartile whose rank is off by more than one percent, or an end that is not exact.
+    """
+    keys = ["churned", "contract"]
+    path = fresh_path(df.sparkSession, "sketches")
+    explore.quantile_sketches(df, keys, "monthly_charges").write.parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    found = explore.sketched_quantiles(explore.merged_sketches(stored, ["churned"]), {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    value = F.col("monthly_charges").cast("double")
+    # two rows, the labels
+    placed = df.join(F.broadcast(found), "churned").groupBy("churned", "n", "lo", "hi").agg(
+        F.count(value).alias("rows"), F.min(value).alias("least"), F.max(value).alias("most"),
+        *[F.count_if(value < F.col(q)).alias(f"{q}_below") for q in ("q1", "median", "q3")],
+        *[F.count_if(value <= F.col(q)).alias(f"{q}_to") for q in ("q1", "median", "q3")])
+    n = F.col("n")
+    off = [
+        ((F.col(f"{q}_below") > (share + 0.01) * n) | (F.col(f"{q}_to") < (share - 0.01) * n)).cast("bigint")
+        for q, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
+    ]
+    off += [(a != b).cast("bigint") for a, b in ((n, F.col("rows")), (F.col("lo"), F.col("least")), (F.col("hi"), F.col("most")))]
+    return placed.agg(F.sum("rows").alias("n"), F.sum(sum(off)).cast("bigint").alias("mismatches"))
+
+
 def _score_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of raw rows against those of the training frame; range, flag and level of each."""
     model = fitted(spark, sf_dir).model

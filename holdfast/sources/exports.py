@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.operators.campaign import high_risk_customers
-from holdfast.plans.presets import EXPORT_SHEETS, named_query
+from holdfast.plans.presets import export_sheets
 from holdfast.schema import Roles
 
 def export_results(results: Mapping[str, DataFrame], folder: str, fmt: str = "csv") -> dict[str, str]:
@@ -23,10 +23,8 @@ def export_results(results: Mapping[str, DataFrame], folder: str, fmt: str = "cs
 
 
 def export_dashboard(features: DataFrame, folder: str, roles: Roles = Roles(), fmt: str = "csv") -> dict[str, str]:
-    """The five dashboard tables, each from its own scan of the columns it needs."""
-    return export_results(
-        {sheet: named_query(name, features, roles) for sheet, name in EXPORT_SHEETS.items()}, folder, fmt
-    )
+    """The five dashboard tables, from one scan."""
+    return export_results(export_sheets(features, roles), folder, fmt)
 
 
 def read_export(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -61,3 +63,51 @@ def replaced(spark: SparkSession, new: str, old: str) -> None:
     files.delete(target, True)
     if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(new), target):
         raise OSError(f"{new} could not be moved to {old}")
+
+
+# --- versions of a table -------------------------------------------------------------
+
+POINTER = "_current"
+_VERSION = re.compile(r"v\d{20}-[0-9a-f]{8}")
+
+
+def new_version(path: str) -> str:
+    """A folder for the next version of the table at ``path``; names sort by time."""
+    return f"{path.rstrip('/')}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the version that readers get, None if the table is not there."""
+    pointer = f"{path.rstrip('/')}/{POINTER}"
+    if not path_exists(spark, pointer):
+        return None
+    files, target = _file_system(spark, pointer)
+    stream = files.open(target)
+    try:
+        name = bytes(stream.readNBytes(64)).decode()
+    finally:
+        stream.close()
+    return f"{path.rstrip('/')}/{name}"
+
+
+def make_current(spark: SparkSession, version: str, keep: int = 2) -> None:
+    """Point readers at ``version``, then remove all but the ``keep`` newest versions.
+
+    The pointer is replaced by a rename, so a reader finds the old version or the new one. The version before stays, for
+    readers that have begun.
+    """
+    path, name = version.rsplit("/", 1)
+    jvm = spark._jvm
+    files, folder = _file_system(spark, path)
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{path}/.{POINTER}-{uuid.uuid4().hex[:8]}")
+    out = files.create(fresh, True)
+    out.write(bytearray(name.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fresh, jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}"), options)
+    names = sorted(s.getPath().getName() for s in files.listStatus(folder) if _VERSION.fullmatch(s.getPath().getName()))
+    for old in names[:-keep]:
+        if old != name:
+            removed(spark, f"{path}/{old}")

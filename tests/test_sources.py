@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdfast.plans.catalog import ACCOUNT_CSV, ROLES
-from holdfast.plans.presets import EXPORT_SHEETS, named_query
+from holdfast.operators.segments import grouped_sets
+from holdfast.plans.presets import EXPORT_SHEETS, export_sheets, named_query
 from holdfast.functions.rules import with_segments
 from holdfast.sources import exports, storage, tables
 
@@ -35,6 +36,62 @@ def test_write_table(spark, tmp_path):
         tables.write_table(two, path, if_exists="append")
 
 
+def test_versions_of_a_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert storage.current_version(spark, path) is None
+    with pytest.raises(FileNotFoundError):
+        tables.read_table(spark, path)
+    first = tables.write_table(spark.range(5), path)
+    second = tables.write_table(spark.range(7), path)
+    assert first.count() == 5 and second.count() == 7  # a reader of the version before goes on
+    with pytest.raises(Exception, match="broken"):
+        tables.write_table(spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), path)
+    with pytest.raises(ValueError, match="not so"):
+        tables.write_table(spark.range(3), path, verify=lambda: (_ for _ in ()).throw(ValueError("not so")))
+    assert tables.read_table(spark, path).count() == 7
+    assert tables.write_table(spark.range(9), path, if_exists="skip").count() == 7
+    tables.write_table(spark.range(1), path)
+    folders = [p.name for p in Path(path).iterdir() if p.is_dir()]
+    assert len(folders) == 2 and tables.read_table(spark, path).count() == 1  # the first version is gone
+    assert spark.read.parquet(storage.current_version(spark, path)).count() == 1
+
+
+def test_joined_frame_with_null_and_repeated_identifiers(spark, customers, tmp_path):
+    raw = spark.createDataFrame(customers.limit(20).collect(), customers.schema)
+    raw = spark.createDataFrame(raw.collect()[:19], raw.schema).unionByName(raw.limit(1).withColumn("account_id", F.lit(None).cast(raw.schema["account_id"].dataType)))
+    derived = with_segments(raw, ROLES).select("account_id", *tables.SEGMENTS)
+    path = str(tmp_path / "joined")
+    stored = tables.store_training_frame(raw, derived, path, ROLES)
+    assert stored.count() == raw.count() and stored.where("tenure_bucket IS NULL").count() == 0
+    assert tables.training_frame(raw, derived, ROLES).where("account_id IS NULL AND risk_flag IS NULL").count() == 0
+    with pytest.raises(ValueError, match=r"3 identifiers .* \(5 rows too many\)"):
+        more = derived.limit(3).unionByName(derived.limit(2))
+        tables.store_training_frame(raw, derived.unionByName(more), path, ROLES)
+    assert tables.read_table(spark, path).count() == raw.count()
+    assert tables.store_training_frame(raw, derived.limit(0), path, ROLES).where("risk_flag IS NULL").count() == raw.count()
+
+
+def test_types_of_further_columns(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("a,b,c,d,e,f\n1, 2.5 ,x,,007,1d\n-3,1e3,4, ,9223372036854775808,2\n,,5,,1,3\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    df = tables.read_customers_csv(spark, str(path), schema, infer=True)
+    assert dict(df.dtypes) == {
+        "a": "int", "b": "double", "c": "string", "d": "string", "e": "double", "f": "string", tables.CORRUPT: "string"}
+    assert [r["b"] for r in df.collect()] == [2.5, 1000.0, None]
+    from holdfast.schema import split_by_type
+    assert split_by_type(df)[0] == ["a", "b", "e"]
+
+
+def test_dashboard_from_one_scan(spark, customers):
+    table = with_segments(customers, ROLES)
+    for roles_table in (table, table.limit(0), table.withColumn("contract", F.lit(None).cast("string"))):
+        for sheet, df in export_sheets(roles_table, ROLES).items():
+            assert df.collect() == named_query(EXPORT_SHEETS[sheet], roles_table, ROLES).collect()
+    plan = grouped_sets(table, [[], ["contract"], ["contract", "risk_flag"]], ROLES)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("InMemoryTableScan") + plan.count("FileScan") <= 2 and "Expand" in plan
+
+
 def test_dashboard_export(spark, customers, tmp_path):
     table = with_segments(customers, ROLES)
     for fmt in ("csv", "parquet"):
@@ -127,7 +184,11 @@ def test_member_filter(spark, customers):
 
 # Results of bounded size that the library itself reads: model parameters, one-row
 # metrics, category lists and tree nodes.
-READS = {"operators/training.py": 5, "operators/attribution.py": 1}
+READS = {
+    "operators/training.py": 5, "operators/attribution.py": 1, "operators/stages.py": 2,  # trees x leaves
+    "plans/catalog.py": 1,  # twenty names
+    "sources/tables.py": 1,  # counts per column
+}
 
 
 def test_no_rows_through_the_driver():

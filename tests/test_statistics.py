@@ -1,6 +1,7 @@
 """Statistics on small hand-made or brute-force-checked inputs."""
 
 import math
+import bisect
 import random
 
 import pytest
@@ -254,3 +255,23 @@ def test_sweep_has_all_thresholds_even_without_rows(spark):
     df = spark.createDataFrame([], "s double, y int")
     out = campaign.threshold_sweep(df, "s", "y").collect()
     assert len(out) == 19 and {r["flagged"] for r in out} == {0}
+
+
+def test_sketches_merge(spark):
+    df = spark.range(100_000).select((F.col("id") % 7).alias("k"), (F.col("id") * 37 % 100_003).cast("double").alias("v"))
+    stored = explore.quantile_sketches(df, ["k"], "v")
+    whole = explore.sketched_quantiles(explore.merged_sketches(stored, []), {"p10": 0.1, "p50": 0.5, "p90": 0.9}).first()
+    values = sorted(r["v"] for r in df.collect())
+    assert (whole["n"], whole["lo"], whole["hi"]) == (100_000, values[0], values[-1])
+    for name, q in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9)):
+        assert abs(bisect.bisect(values, whole[name]) / 100_000 - q) < 0.01
+    assert explore.quantile_sketches(df.limit(0), ["k"], "v").count() == 0
+
+
+def test_binned_density_of_many_values(spark):
+    df = spark.range(60_000).select((F.col("id") % 2).cast("int").alias("y"), (F.rand(3) * 50 + F.randn(4)).alias("v")).persist()
+    key = ["label", "measure", "i"]
+    exact = explore.density(df, "y", ["v"], points=40).withColumnRenamed("density", "want").drop("x")
+    both = explore.density(df, "y", ["v"], points=40, binned=True).join(exact, key)
+    assert both.count() == 80 and both.agg(F.max(F.abs(F.col("density") - F.col("want")))).first()[0] <= 1e-6
+    df.unpersist()
