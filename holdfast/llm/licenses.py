@@ -2,7 +2,9 @@
 
 Every rolling word k-gram of a document is hashed and joined with the k-grams of the templates. A match at document
 word p and template word t votes for diagonal p - t. An undisturbed copy of a template puts all its votes on one diagonal;
-inserted or lost words move the rest to a neighbouring one, so neighbouring diagonals are merged before the span is judged.
+inserted or lost words move the rest to a neighbouring one, so neighbouring diagonals are merged, over as many words as the
+template has k-grams. A span is then verified word by word: its coverage is the longest run of k-grams that follow each other both in
+the document and in the template, each template position counted once, so a repeated fragment counts once.
 
 Defined cases: NULL or empty text has no words and no labels; rows that are repeated in full give one output row
 each; the template table is fixed and small (about a hundred k-grams), so its broadcast has a bound that does not depend on
@@ -11,7 +13,7 @@ the data. A document's matches are aggregated under its own key, so no key holds
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -33,6 +35,16 @@ NOTICES = {
     "following conditions are met": "bsd",
     "this work is licensed under a creative commons attribution": "cc-by",
     "licensed under cc by nc 4 0": "cc-by-nc",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+    "documentation files the software to deal in the software without restriction including without limitation the rights "
+    "to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to "
+    "whom the software is furnished to do so subject to the following conditions the above copyright notice and this "
+    "permission notice shall be included in all copies or substantial portions of the software": "mit",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+    "provided that the above copyright notice and this permission notice appear in all copies": "isc",
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following "
+    "disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+    "following disclaimer in the documentation and or other materials provided with the distribution": "bsd",
 }
 DOC, TEMPLATE = ["doc_id", "n_words", "text_hash"], ["template", "label", "base", "n_grams"]
 
@@ -53,7 +65,7 @@ def diagonals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", g
     """Votes by document, template and diagonal, and one row without template for each document.
 
     Columns: doc_id, n_words, text_hash, template, label, base, n_grams, diagonal, votes, first, last (document words of the
-    first and last vote). On the row without template, votes is the number of rows with this identifier and text.
+    first and last vote), seen (the template positions that voted). On the row without template, votes is the number of rows with this identifier and text.
     """
     split = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -73,20 +85,36 @@ def diagonals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", g
     kept = found.filter((F.col("pos") == 0) | (F.col("gram").isNotNull() & same))
     at = F.col("pos") - 1
     return kept.groupBy(*DOC, *TEMPLATE, (at - F.col("at")).alias("diagonal")).agg(
-        F.count(F.lit(1)).alias("votes"), F.min(at).alias("first"), F.max(at).alias("last")
+        F.count(F.lit(1)).alias("votes"), F.min(at).alias("first"), F.max(at).alias("last"), F.collect_set("at").alias("seen")
     )
 
 
+def _in_order(pairs: Column, n_grams: Column) -> Column:
+    """Most pairs (p, -t) with p and t both rising.
+
+    Goes through the pairs by p, the larger t first, and keeps for each t the longest run that ends at t or before; as long
+    as the template, whatever the number of pairs.
+    """
+    def longer(best: Column, pair: Column) -> Column:
+        t = -pair["t"]
+        run = F.when(t > 0, F.try_element_at(best, t)).otherwise(F.lit(0)) + 1  # what ends before t
+        return F.transform(best, lambda b, i: F.when(i >= t, F.greatest(b, run)).otherwise(b))
+
+    return F.element_at(F.aggregate(F.array_sort(pairs), F.array_repeat(F.lit(0), n_grams), longer), -1)
+
+
 def spans(votes: DataFrame, gram: int = 3, shift: int = 3, coverage: float = 0.6) -> DataFrame:
     """License spans from the votes of `diagonals`, and the documents' own rows as they are.
 
-    Diagonals of one template that differ by at most `shift` are one span. Columns: the document's, the template's,
-    first_word, last_word (its last), places (undisturbed copies), coverage (share of the template's k-grams found, at most
-    1), accepted (coverage reached; a phrase needs an undisturbed copy).
+    Diagonals of one template that differ by at most `shift` are one span, which ends after as many diagonals as the template has
+    k-grams. Columns: the document's, the template's, first_word, last_word (its last), places (undisturbed copies), coverage (share
+    of the template's k-grams found in order, at most 1), accepted (coverage reached; a phrase needs an undisturbed copy).
     """
     by = W.partitionBy(*DOC, *TEMPLATE).orderBy("diagonal")
     new = F.col("diagonal") - F.lag("diagonal").over(by) > shift
-    merged = votes.withColumn("span", F.sum(F.when(new, 1).otherwise(0)).over(by))
+    merged = votes.withColumn("chain", F.sum(F.when(new, 1).otherwise(0)).over(by))
+    start = F.min("diagonal").over(W.partitionBy(*DOC, *TEMPLATE, "chain"))
+    merged = merged.withColumn("span", F.struct("chain", F.floor((F.col("diagonal") - start) / F.col("n_grams")).alias("part")))
     # repeated rows vote alike
     copies = F.first(F.when(F.col("template").isNull(), F.col("votes")), True).over(W.partitionBy(*DOC))
     merged = merged.withColumn("copies", copies)
@@ -96,9 +124,10 @@ def spans(votes: DataFrame, gram: int = 3, shift: int = 3, coverage: float = 0.6
         F.min("first").alias("first_word"), (F.max("last") + gram - 1).alias("last_word"),
         F.count(F.when(full, 1)).alias("places"),
         F.min(F.when(full, F.col("diagonal"))).alias("first_place"), F.max(F.when(full, F.col("diagonal"))).alias("last_place"),
-        F.when(F.first("n_grams").isNotNull(), F.least(F.sum("votes") / F.first("n_grams"), F.lit(1.0))).alias("coverage"),
+        F.flatten(F.collect_list(F.transform("seen", lambda t: F.struct((t + F.col("diagonal")).alias("p"), (-t).alias("t"))))).alias("pairs"),
         F.first("copies").alias("copies"),
     )
+    found = found.withColumn("coverage", F.when(F.col("n_grams").isNotNull(), _in_order(F.col("pairs"), F.col("n_grams")) / F.col("n_grams")))
     accepted = F.when(F.col("base"), F.col("places") > 0).otherwise(F.coalesce(F.col("coverage") >= coverage, F.lit(False)))
     return found.withColumn("accepted", accepted)
 

@@ -116,3 +116,38 @@ def substrings(texts, size=50):
         kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
         out[d] = len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest()
     return out
+
+
+def license_scan(text, notices, phrases, gram=3, shift=3, coverage=0.6):
+    """labels and score by diagonals, spans and longest rising runs, template by template."""
+    w = LETTERED.findall(low(text))
+    labels, score = set(), 0.0
+    for table, base in ((phrases, True), (notices, False)):
+        for template, label in table.items():
+            t = template.split()
+            n = len(t) - gram + 1
+            votes = {}
+            for p in range(len(w) - gram + 1):
+                for k in range(n):
+                    if w[p : p + gram] == t[k : k + gram]:
+                        votes.setdefault(p - k, set()).add((p, k))
+            groups, start, last = [], None, None
+            for d in sorted(votes):
+                if last is None or d - last > shift:
+                    start = d
+                last = d
+                key = start, (d - start) // n
+                if not groups or groups[-1][0] != key:
+                    groups.append((key, set()))
+                groups[-1][1].update(votes[d])
+            for _, pairs in groups:
+                runs = {}
+                for p, k in sorted(pairs, key=lambda x: (x[0], -x[1])):
+                    runs[k] = max(runs.get(k, 0), 1 + max((r for q, r in runs.items() if q < k), default=0))
+                share = max(runs.values()) / n
+                score = max(score, share)
+                if share >= coverage and not base:
+                    labels.add(label)
+            if base and any(len(v) == n for v in votes.values()):
+                labels.add(label)
+    return ",".join(sorted(labels)), score

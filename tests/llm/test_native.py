@@ -1,5 +1,6 @@
 """License scan, quality rules and mixing against plain versions, over sf0.001 and hand-made rows."""
 
+import random
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +39,28 @@ def test_license_base(spark, small, name):
     assert got.filter("score < 0 or score > 1 or not (base_labels = '' or labels != '')").count() == 0
 
 
+def test_repeated_fragments_are_no_license(spark):
+    rows = [(1, "license version 2 " * 6), (2, "general public license " * 9), (3, "under the apache license " * 40), (4, "a copy of the license " * 30)]
+    got = licenses.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.labels for r in got} == {""} and all(r.score < 0.6 for r in got)
+
+
+def test_license_labels_and_scores(spark, small):
+    rnd, rows = random.Random(2), [(r.doc_id, r.text) for r in small.collect()]
+    rows += [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    for k, notice in enumerate([*licenses.NOTICES, *licenses.PHRASES] * 3):
+        w = notice.split()
+        for _ in range(rnd.randrange(6)):
+            at = rnd.randrange(len(w))
+            w[at : at + rnd.randrange(2)] = rnd.choice([[], ["x"], ["two", "words"], w[:4]])
+        rows.append((10_000 + k, " ".join(["before"] * rnd.randrange(4) + w + w[: rnd.randrange(9)])))
+    df = spark.createDataFrame([(i, d, t) for i, (d, t) in enumerate(rows)], "n int, doc_id long, text string")
+    got = licenses.report(df.select(F.col("n").cast("long").alias("doc_id"), "text")).collect()
+    want = [brute.license_scan(t, licenses.NOTICES, licenses.PHRASES) for _, t in rows]
+    assert [(r.labels, pytest.approx(r.score)) for r in sorted(got, key=lambda r: r.doc_id)] == want
+    assert {"mit", "apache-2", "bsd", "isc"} <= {x for labels, _ in want for x in labels.split(",")}
+
+
 def test_license_notice_with_changed_words(spark):
     text = "permission is hereby granted free of all charge to any person getting a copy of this software and associated documentation files to deal in the software"
     df = spark.createDataFrame([(1, text), (2, "permission granted to any person")], "doc_id long, text string")
