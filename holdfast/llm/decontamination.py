@@ -10,7 +10,8 @@ Test items are the stated query set: they reach the tasks in blocks of bounded s
 
 Defined cases: NULL or empty text has no words and no hits; an item without words matches nothing, one shorter than the
 window is one window; windows never cross documents; repeated documents give one row each; items that share an identifier
-count once, a NULL identifier as the empty string. A segment is as long as its longest document at least.
+count once, a NULL identifier as the empty string. An item is near a document whose text has the item's three rarest terms (counted in
+the test set) within 20 words of the rarest of them; an item of fewer terms is near none. A segment is as long as its longest document at least.
 """
 
 from __future__ import annotations
@@ -24,10 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm.text import LETTERED_BYTES, total_bytes
+from holdfast.llm.text import LETTERED, LETTERED_BYTES, ascii_lower, total_bytes, words
 from holdfast.sources.storage import fresh_path
 
 SEGMENT_WORDS, BLOCK_BYTES = 2_000_000, 8 << 20
+SLOP, RAREST = 20, 3
 
 
 def _tokens(raw: bytes | None) -> list[bytes]:
@@ -123,22 +125,25 @@ class _Searched:
         return found
 
     def near(self, terms: np.ndarray, slop: int) -> np.ndarray:
-        """Places of the first term that have every other term within `slop` words."""
+        """Places of the first term that have every other term within `slop` words in the same document."""
         found = self.places(terms[0])
         for t in terms[1:]:
+            place = self.document(found)
+            start, end = self.starts[place], np.append(self.starts[1:], 1 << 60)[place]
             more = np.concatenate([[-(1 << 60)], self.places(t), [1 << 60]])
             at = np.searchsorted(more, found)
-            found = found[np.minimum(more[at] - found, found - more[at - 1]) <= slop]
+            before, after = more[at - 1], more[at]
+            found = found[((after < end) & (after - found <= slop)) | ((before >= start) & (found - before <= slop))]
         return found
 
     def document(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, at, side="right") - 1
 
 
-def _search(seg: _Searched, items: list[tuple[str, list[bytes]]], window: int, slop: int, rarest: int):
+def _search(seg: _Searched, items: list[tuple[str, list[bytes], list[bytes]]], window: int, slop: int):
     """Covered stretches and items by document number, and items near it."""
     spans, found, near = [], defaultdict(set), defaultdict(set)
-    for item, w in items:
+    for item, w, few in items:
         terms = np.array([seg.place.get(x, -1) for x in w], np.int64)
         n = min(window, len(w))
         absent = np.concatenate([[0], np.cumsum(terms < 0)])
@@ -148,19 +153,17 @@ def _search(seg: _Searched, items: list[tuple[str, list[bytes]]], window: int, s
                 spans.append(np.stack([at, at + n], 1))
                 for d in np.unique(seg.document(at)):
                     found[d].add(item)
-        distinct = np.unique(terms)
-        if len(distinct) >= rarest and distinct[0] >= 0:
-            few = distinct[np.argsort(seg.count[distinct], kind="stable")[:rarest]]
-            for d in np.unique(seg.document(seg.near(few, slop))):
+        if few and all(x in seg.place for x in few):
+            for d in np.unique(seg.document(seg.near(np.array([seg.place[x] for x in few]), slop))):
                 near[d].add(item)
     return np.concatenate(spans) if spans else np.zeros((0, 2), np.int64), found, near
 
 
-def search(spark: SparkSession, path: str, items: list[tuple[str, list[bytes]]], window: int = 10, slop: int = 20, rarest: int = 3) -> DataFrame:
+def search(spark: SparkSession, path: str, items: list[tuple[str, list[bytes], list[bytes]]], window: int = 10, slop: int = SLOP) -> DataFrame:
     """One pass over an index: id, segment row, n_words, spans, items, near for every document.
 
-    spans: covered stretches of words, apart from each other. items: items of which a window occurs. near: items whose
-    `rarest` rarest terms all stand within `slop` words of the rarest of them.
+    items: (name, words, terms for proximity). In the result, spans: covered stretches of words, apart from each other; items: items of
+    which a window occurs; near: items whose terms for proximity all stand within `slop` words of the first of them in the document.
     """
     sent = spark.sparkContext.broadcast(items)
     index = spark.read.parquet(path)
@@ -174,7 +177,7 @@ def search(spark: SparkSession, path: str, items: list[tuple[str, list[bytes]]],
                 ids, sizes, terms, n, gaps, name = (b.column(j)[k] for j in range(6))
                 size = np.array(sizes.as_py(), np.int64)
                 seg = _Searched(size, terms.as_py(), n.as_py(), gaps.as_py())
-                hits, found, near = _search(seg, sent.value, window, slop, rarest)
+                hits, found, near = _search(seg, sent.value, window, slop)
                 edge = np.zeros(int((size + 1).sum()) + 1, np.int32)
                 np.add.at(edge, hits[:, 0], 1)
                 np.add.at(edge, hits[:, 1], -1)
@@ -199,16 +202,40 @@ def search(spark: SparkSession, path: str, items: list[tuple[str, list[bytes]]],
     return index.select("ids", "sizes", "terms", "n", "gaps", name.alias("name")).mapInArrow(run, schema)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = 10) -> DataFrame:
-    """(id, n_words, n_hit, items, near) of every document against all items of a benchmark table."""
+def rarest_terms(items: DataFrame, rarest: int = RAREST) -> DataFrame:
+    """(item, raw, few): the terms of an item that are rarest in the whole test set, the rarest first, ties in byte order.
+
+    None for an item of fewer distinct terms.
+    """
+    term = words(ascii_lower(F.col("raw").cast("string")), LETTERED)
+    counts = items.select(F.explode(term).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    own = items.select("item", "raw", F.explode(F.array_distinct(term)).alias("term")).distinct()
+    few = F.slice(F.array_sort(F.collect_list(F.struct("n", "term"))), 1, rarest)["term"]
+    return own.join(counts, "term").groupBy("item", "raw").agg(few.alias("few")).filter(F.size("few") == rarest)
+
+
+def matches(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = 10,
+    proximity: bool = True,
+) -> DataFrame:
+    """(id, n_words, n_hit, items, near) of every document against all items of a benchmark table.
+
+    near is left empty without `proximity`.
+    """
     spark = docs.sparkSession
     path = build_index(docs, fresh_path(spark, "postings"), id_col, text_col)
     asked = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("")).alias("item"), F.col("text").cast("binary").alias("raw"))
     blocks = max(1, ceil(total_bytes(asked, "raw") / BLOCK_BYTES))
+    if proximity:
+        asked = asked.join(rarest_terms(asked), ["item", "raw"], "left")
+    else:
+        asked = asked.withColumn("few", F.array().cast("array<string>"))
     told = None
     for k in range(blocks):
         block = asked.filter(F.pmod(F.xxhash64("item", "raw"), F.lit(blocks)) == k)
-        one = search(spark, path, [(r["item"], _tokens(bytes(r["raw"] or b""))) for r in block.toLocalIterator()], window)
+        one = search(spark, path, [
+            (r["item"], _tokens(bytes(r["raw"] or b"")), [x.encode() for x in r["few"] or []]) for r in block.toLocalIterator()
+        ], window)
         told = one if told is None else told.unionByName(one)
     if blocks > 1:  # a document's stretches and items of all blocks together
         told = told.groupBy("row", "id", "n_words").agg(
@@ -223,12 +250,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and the items near it: n_near, near_sha256."""
     found = matches(docs, benchmark)
-    listed = F.array_join(F.array_sort("items"), ",")
+    listed, near = (F.array_join(F.array_sort(c), ",") for c in ("items", "near"))
     return found.select(
         F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"),
+        (F.col("n_hit") > 0).alias("contaminated"), F.size("near").cast("long").alias("n_near"), F.sha2(near, 256).alias("near_sha256"),
     )
 
 
@@ -237,6 +264,6 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     digest = F.coalesce(F.sha2(F.col(f"`{text_col}`").cast("binary"), 256), F.lit(""))
     told = docs.withColumn("_digest", digest)
     keyed = docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), digest.alias("digest")).alias("row"), F.col(f"`{text_col}`").alias("text"))
-    bad = matches(keyed, benchmark, "row", "text").filter("n_hit > 0").select(F.col("id.id").alias("bad_id"), F.col("id.digest").alias("bad_digest")).distinct()
+    bad = matches(keyed, benchmark, "row", "text", proximity=False).filter("n_hit > 0").select(F.col("id.id").alias("bad_id"), F.col("id.digest").alias("bad_digest")).distinct()
     clean = told.join(bad, told[id_col].eqNullSafe(bad["bad_id"]) & (told["_digest"] == bad["bad_digest"]), "left_anti")
     return clean.select(*(F.col(f"`{c}`") for c in docs.columns))

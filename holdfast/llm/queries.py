@@ -99,10 +99,20 @@ def oracle_sql() -> dict[str, str]:
             hits AS (SELECT doc_id, item_id, i, n FROM places JOIN wins USING (n, g)),
             words AS (SELECT doc_id, COUNT(DISTINCT i + k) AS n_hit FROM hits, unnest(range(n)) t(k) GROUP BY doc_id),
             items AS (SELECT doc_id, COUNT(DISTINCT item_id) AS n_items,
-              string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY doc_id)
+              string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY doc_id),
+            t AS (SELECT item_id, w, unnest(w) AS t FROM b), c AS (SELECT t, COUNT(*) AS n FROM t GROUP BY t),
+            few AS (SELECT item_id, list(t ORDER BY n, t)[:3] AS f FROM (SELECT DISTINCT * FROM t) JOIN c USING (t)
+              GROUP BY item_id, w HAVING COUNT(*) > 2),
+            p AS (SELECT doc_id, i, w[i] AS t FROM d, unnest(range(1, len(w) + 1)) x(i)
+              WHERE w[i] IN (SELECT unnest(f) FROM few)),
+            nears AS (SELECT a.doc_id, COUNT(DISTINCT item_id) AS n_near,
+              string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS near_ids
+              FROM few JOIN p a ON a.t = f[1] JOIN p b ON b.t = f[2] AND b.doc_id = a.doc_id AND abs(b.i - a.i) <= 20
+              JOIN p c ON c.t = f[3] AND c.doc_id = a.doc_id AND abs(c.i - a.i) <= 20 GROUP BY a.doc_id)
             SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-              sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-            FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+              sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+              coalesce(n_near, 0) AS n_near, sha256(coalesce(near_ids, '')) AS near_sha256
+            FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN nears USING (doc_id)""",
         "op6_quality_rules": f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
               regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w FROM documents),
             g AS (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) AS n

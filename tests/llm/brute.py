@@ -151,3 +151,19 @@ def license_scan(text, notices, phrases, gram=3, shift=3, coverage=0.6):
             if base and any(len(v) == n for v in votes.values()):
                 labels.add(label)
     return ",".join(sorted(labels)), score
+
+
+def near_items(texts, items, slop=20, rarest=3):
+    """{doc_id: sorted identifiers of items whose rarest terms stand near each other}."""
+    count = Counter(x for _, body in items for x in LETTERED.findall(low(body)))
+    few = [(str(item), sorted(set(LETTERED.findall(low(body))), key=lambda x: (count[x], x.encode()))[:rarest]) for item, body in items]
+    out = {}
+    for d, text in texts.items():
+        at = {}
+        for i, x in enumerate(LETTERED.findall(low(text))):
+            at.setdefault(x, []).append(i)
+        out[d] = sorted({
+            item for item, f in few if len(f) == rarest
+            and any(all(any(abs(j - i) <= slop for j in at.get(x, ())) for x in f[1:]) for i in at.get(f[0], ()))
+        })
+    return out

@@ -167,6 +167,22 @@ def test_decontamination(docs, spark, monkeypatch, block):
     assert decontamination.report(docs, bench.limit(0)).filter("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("block", [8 << 20, 60])
+def test_proximity_within_one_document(spark, monkeypatch, block):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+    rnd = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(30)]
+    texts = {i: " ".join(rnd.choices(vocabulary, k=rnd.randint(0, 60))) for i in range(120)}
+    texts |= {500: "x " * 40 + "alpha", 501: "beta gamma delta", 502: "alpha " + "y " * 18 + "beta Gamma", 503: "gamma " + "y " * 20 + "alpha beta", 504: None}
+    items = [("near", "alpha beta gamma"), ("short", "alpha beta"), ("none", None), ("near", "delta zeta eta")]
+    items += [(f"i{k}", " ".join(rnd.choices(vocabulary, k=6))) for k in range(15)]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_near, r.near_sha256) for r in decontamination.report(docs, spark.createDataFrame(items, "item_id string, text string")).collect()}
+    want = brute.near_items(texts, items)
+    assert got == {d: (len(x), hashlib.sha256(",".join(x).encode()).hexdigest()) for d, x in want.items()}
+    assert want[500] == want[501] == want[503] == [] and want[502] == ["near"] and sum(map(len, want.values())) > 100
+
+
 def test_rows_are_judged_by_identifier_and_text(spark):
     rnd = random.Random(9)
     text = [" ".join(_word(rnd) for _ in range(60)) for _ in range(6)]
