@@ -147,14 +147,14 @@ def _training_frame_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _persist_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = tables.write_table(customers(spark, sf_dir).select(*ROLES.feature_table_columns()),
+    stored = tables.store_table(customers(spark, sf_dir).select(*ROLES.feature_table_columns()),
                                 fresh_path(spark, "raw-table"))
     return _plain(stored)
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = tables.feature_table(customers(spark, sf_dir), ROLES)
-    return _plain(tables.write_table(table, fresh_path(spark, "feature-table")))
+    return _plain(tables.store_table(table, fresh_path(spark, "feature-table")))
 
 
 def _named_query(spark: SparkSession, sf_dir: str) -> DataFrame:

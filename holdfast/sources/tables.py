@@ -89,10 +89,23 @@ def clean_customers(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     return out
 
 
-def write_table(
+def write_table(df: DataFrame, path: str, if_exists: str = "replace") -> DataFrame:
+    """Write as one plain Parquet folder, for any tool to read, and return it; 'skip' keeps one that is there.
+
+    Who reads while it is replaced may fail; ``store_table`` keeps readers safe.
+    """
+    spark = df.sparkSession
+    if if_exists not in ("replace", "skip"):
+        raise ValueError("if_exists must be 'replace' or 'skip'")
+    if if_exists == "replace" or not storage.path_exists(spark, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def store_table(
     df: DataFrame, path: str, if_exists: str = "replace", keep: int = 2, verify: Callable[[], None] | None = None
 ) -> DataFrame:
-    """Store as Parquet and return the stored table; 'skip' keeps one that is there.
+    """Store in versions and return the stored one; 'skip' keeps one that is there. ``read_table`` finds the current version.
 
     Each write is a version of its own, in a folder below ``path``, and becomes the table when it is complete and ``verify`` has not
     raised. Readers of the version before go on; a write that fails leaves it in place.
@@ -155,7 +168,7 @@ def store_training_frame(raw: DataFrame, derived: DataFrame, path: str, roles: R
     ``path`` before stays.
     """
     if raw.isEmpty() or derived.isEmpty():  # Spark drops the join, and with it what it would count
-        return write_table(training_frame(raw, derived, roles), path)
+        return store_table(training_frame(raw, derived, roles), path)
     seen = Observation("identifiers")
     once = (
         derived.groupBy(roles.id).agg(F.count(F.lit(1)).alias("__n"), *(F.first(c).alias(c) for c in SEGMENTS))
@@ -167,7 +180,7 @@ def store_training_frame(raw: DataFrame, derived: DataFrame, path: str, roles: R
         if repeated:
             raise ValueError(f"{repeated} identifiers occur more than once in the derived table ({surplus} rows too many)")
 
-    return write_table(_joined(raw, once.drop("__n"), roles), path, verify=verify)
+    return store_table(_joined(raw, once.drop("__n"), roles), path, verify=verify)
 
 
 def duplicate_ids(df: DataFrame, id_col: str) -> DataFrame:

@@ -41,16 +41,16 @@ def test_versions_of_a_table(spark, tmp_path):
     assert storage.current_version(spark, path) is None
     with pytest.raises(FileNotFoundError):
         tables.read_table(spark, path)
-    first = tables.write_table(spark.range(5), path)
-    second = tables.write_table(spark.range(7), path)
+    first = tables.store_table(spark.range(5), path)
+    second = tables.store_table(spark.range(7), path)
     assert first.count() == 5 and second.count() == 7  # a reader of the version before goes on
     with pytest.raises(Exception, match="broken"):
-        tables.write_table(spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), path)
+        tables.store_table(spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("id")), path)
     with pytest.raises(ValueError, match="not so"):
-        tables.write_table(spark.range(3), path, verify=lambda: (_ for _ in ()).throw(ValueError("not so")))
+        tables.store_table(spark.range(3), path, verify=lambda: (_ for _ in ()).throw(ValueError("not so")))
     assert tables.read_table(spark, path).count() == 7
-    assert tables.write_table(spark.range(9), path, if_exists="skip").count() == 7
-    tables.write_table(spark.range(1), path)
+    assert tables.store_table(spark.range(9), path, if_exists="skip").count() == 7
+    tables.store_table(spark.range(1), path)
     folders = [p.name for p in Path(path).iterdir() if p.is_dir()]
     assert len(folders) == 2 and tables.read_table(spark, path).count() == 1  # the first version is gone
     assert spark.read.parquet(storage.current_version(spark, path)).count() == 1
