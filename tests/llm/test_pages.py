@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +42,71 @@ def test_small_pages(tree, page, want):
     assert pages.main_text(page, tree) == want
 
 
+LONG = "long words of the page " * 9
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p>only text</p>", "only text"), ("only text", "only text"), ("<body><div>x</div></body>", "x"),
+        (f"<p>{LONG}</p><p>{LONG}</p><p>the last one</p>", f"{LONG.strip()}\n\n{LONG.strip()}\n\nthe last one"),
+        ("<article><p><a>one</a></p><p>plain words</p><p><a>two</a> b</p></article>", "one\n\nplain words\n\ntwo b"),
+        ("<article><div class='article-header'><h1>T</h1></div><div class='share-price'>12</div><p>t</article>", "T\n\n12\n\nt"),
+        ("<article><ul><li class='share'>no<li>yes<li>and that</ul></article>", "yes\n\nand that"),
+        ("<article><p>so <math><mi>x</mi></math> it</p><p hidden>no</p><p style='display:none'>no<p>a<i style='display: none'>no</i></article>", "so x it\n\na"),
+        ("<div class='ad'>buy<article><p>text</p></article><footer>f", "text"),
+        ("<div class='related'><article><p>teaser</p></article></div><article><p>text</p></article>", "text"),
+        ("<form><article><p>text</p></article></form>", "text"),
+        ("<nav><ul><li><a>" + LONG + "</a></li></ul></nav><article><p>t</p><nav><a>" + LONG + "</a></nav></article>", "t"),
+        (f"<h1>T</h1><p>{LONG}</p><div>log in</div><ul><li><a>x</a><li><a>y</a></ul>", f"T\n\n{LONG.strip()}"),
+        (f"<p>{LONG}</p><ul><li>first of all<li>then this</ul><p>{LONG}</p>", f"{LONG.strip()}\n\nfirst of all\n\nthen this\n\n{LONG.strip()}"),
+    ],
+)
+def test_pages_of_other_kinds(tree, page, want):
+    assert pages.main_text(page, tree) == want
+
+
+def test_names_are_read_whole():
+    assert [pages.hints(x)[0] for x in ("ad", "siteFooter", "cookie-notice box", "top_nav", "load", "share-price", "article-header", "badge header-image")] == [
+        True, True, True, True, False, False, False, False]
+    assert pages.hints("post-comments") == (True, True) and pages.hints("") == (False, False)
+
+
+def test_held_out_pages(tree):
+    """Pages drawn anew, half of them without an article element; own words, links and places all count in the tree."""
+    wrong = total = 0
+    for page, marks in pages.labelled_pages(400, seed=2):
+        found = pages.blocks(page)
+        said = [pages._says(tree, x) for x in pages.features(found)]
+        assert len(said) == len(marks)
+        wrong, total = wrong + sum(str(a) != b for a, b in zip(said, marks, strict=True)), total + len(marks)
+    assert wrong <= 0.005 * total
+
+    def used(x):
+        return set() if isinstance(x, int) else {pages.FEATURES[x[0]]} | used(x[2]) | used(x[3])
+
+    assert {"words", "density", "words_before", "words_after"} <= used(tree)
+
+
+def test_articles_without_their_element(spark, tree):
+    """The pages of the table with the article as a bare element: the same text is found by its blocks alone."""
+    rows = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    assert rows
+    for page in rows:
+        bare = page.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert pages.main_text(bare, tree) == pages.main_text(page, tree)
+
+
+@pytest.mark.parametrize("bit", ["<ul><li>x", "<div>", "<a ", '<a "', "<svg>", '<p class="a>', "x<", "<div class=ad>a", "<!--", "<p a='", "<p><h2>x"])
+def test_cutting_is_linear(bit):
+    took = []
+    for n in (4_000, 32_000):
+        start = time.perf_counter()
+        pages.blocks(bit * n + ">y")
+        took.append(time.perf_counter() - start)
+    assert took[1] < 30 * took[0] + 0.2  # quadratic: 64 times
+
+
 def test_extraction_keeps_rows(spark, tree):
     rows = spark.createDataFrame([(1, "u", None, "x", "y"), (1, "u", None, "x", "y"), (None, None, "<p>q</p>", "", "")], SCHEMA)
     assert pages.extracted(rows, tree=tree).count() == 3 and pages.extracted(rows.limit(0), tree=tree).count() == 0
