@@ -1,7 +1,10 @@
 """Page extraction, WARC audit and preference formatting."""
 
+import gzip
 import html
+import pathlib
 import re
+import shutil
 import time
 
 import pytest
@@ -129,10 +132,80 @@ def test_audit_goes_down_several_levels(spark):
     bad = bad.filter("not (file_no = 1 and place = 99)")
     got = warc.audit(leaves, bad, fanout=3).filter("status <> 'ok'").select("file_no", "place", "status").collect()
     assert sorted(map(tuple, got)) == [(1, 99, "missing"), (3, 77, "changed")]
-    roots = [warc.tree(x, warc._heights(leaves, 3), 3)[-1].collect() for x in (leaves, leaves.repartition(7), bad)]
+    roots = [warc.tree(x, warc._heights(leaves, leaves, 3), 3)[-1].collect() for x in (leaves, leaves.repartition(7), bad)]
     assert len(roots[0]) == 1 and roots[0] == roots[1] != roots[2]
 
 
+def _stored(path):
+    return {f.parent.name: f for f in pathlib.Path(path).rglob("part-*")}
+
+
+def _hurt(raw, ranges, how):
+    """A file with its fourth record changed in some way, and the status that this should have."""
+    at, length = ranges[3]
+    end = at + length
+    other = gzip.compress(b"another record", mtime=0)
+    return {
+        "flip": (raw[: at + 30] + bytes([raw[at + 30] ^ 255]) + raw[at + 31 :], {3: "damaged"}),
+        "flip header": (raw[:at] + b"\0" + raw[at + 1 :], {3: "damaged"}),
+        "insert": (raw[: at + 30] + b"new" + raw[at + 30 :], {3: "damaged"}),
+        "remove": (raw[:at] + raw[end + len(warc.BETWEEN) :], {3: "missing"}),
+        "cut": (raw[: at + 40], {3: "damaged"} | {k: "missing" for k in range(4, len(ranges))}),
+        "replace": (raw[:at] + warc.member(b"another record") + raw[end:], {3: "changed"}),
+        "add": (raw[:at] + warc.member(b"another record") + raw[at:], {None: "added"}),
+        "append": (raw + b"tail", {None: "added"}),
+        "foreign": (raw + other, {None: "added"}),
+        "empty": (b"", {k: "missing" for k in range(len(ranges))}),
+    }[how]
+
+
+HOWS = ["flip", "flip header", "insert", "remove", "cut", "replace", "add", "append", "foreign", "empty"]
+
+
+def test_damage_on_disk(spark, tmp_path, monkeypatch):
+    """Bytes of the stored files are flipped, cut, inserted and appended, a file is lost and one is new; all else is intact."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    warc.ensure_checkpoint_dir(spark)
+    rows = spark.range(400).selectExpr("id AS page_id", "concat('u', id) AS url", "repeat(sha2(string(id), 512), 4 + int(id % 9)) AS html")
+    packed = warc.members(warc.records(rows))
+    listed = warc.manifest(packed).checkpoint()
+    stored = warc.write(packed, str(tmp_path / "stored"))
+    path = shutil.copytree(stored, tmp_path / "replica", ignore=shutil.ignore_patterns(".*.crc")).as_posix()
+    files, places = _stored(path), {}
+    for r in listed.orderBy("file_no", "place").collect():
+        places.setdefault(r.file_no, []).append((r.start, r.length))
+    assert len(files) == len(places) > len(HOWS) + 2
+    whole = b"".join(gzip.decompress(f.read_bytes()) for f in files.values())  # any reader of gzip can unpack them
+    assert whole.count(b"WARC/1.1") == 400
+    ok = warc.audit(listed, warc.leaves(spark, path), fanout=4)
+    assert ok.count() == 400 and ok.filter("status <> 'ok' OR place <> found_place").count() == 0
+
+    want = set()
+    for no, how in enumerate(HOWS):
+        new, says = _hurt(files[f"file_no={no}"].read_bytes(), places[no], how)
+        files[f"file_no={no}"].write_bytes(new)
+        want |= {(no, place, status) for place, status in says.items()}
+    gone = len(HOWS)
+    files[f"file_no={gone}"].write_bytes(b"")
+    want |= {(gone, k, "missing") for k in range(len(places[gone]))}
+    (tmp_path / "replica" / "extra.gz").write_bytes(warc.member(b"stray"))
+    got = warc.audit(listed, warc.leaves(spark, path), fanout=4).filter("status NOT IN ('ok', 'moved')").collect()
+    found = {(r.file_no if r.file_no >= 0 else "extra", r.place, r.status) for r in got}
+    assert found == want | {("extra", None, "added")} and len(got) == len(found)
+
+    one = _stored(stored)["file_no=0"]  # the store has checksums of its own and refuses this file
+    one.write_bytes(bytes(len(one.read_bytes())))
+    got = warc.audit(listed, warc.leaves(spark, stored), fanout=4).filter("status <> 'ok'").collect()
+    assert sorted((r.file_no, r.place, r.status) for r in got) == [(0, k, "missing") for k in range(len(places[0]))]
+
+
+def test_audit_leaves_clashing_columns_out(spark):
+    rows = spark.range(30).selectExpr("id AS page_id", "'u' AS url", "string(id) AS html", "1 AS file_no", "2 AS place", "3 AS digest", "4 AS record")
+    got = warc.report(rows, every=5).collect()
+    assert sorted(r.page_id for r in got) == list(range(30)) and all(r.whole_elsewhere for r in got)
+    assert {r.status for r in got} == {"ok", "damaged"}
+
+
 def _brute(chosen, rejected):
     n = 0
     while n < min(len(chosen), len(rejected)) and chosen[n] == rejected[n]:
