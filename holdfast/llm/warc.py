@@ -60,7 +60,7 @@ def member(record: bytes) -> bytes:
 
 
 def members(recs: DataFrame) -> DataFrame:
-    """(file_no, page_id, url, digest, member) of records, all of a file in one partition; checkpointed."""
+    """(file_no, page_id, url, digest, member) of records, all of a file in one partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -76,7 +76,7 @@ def members(recs: DataFrame) -> DataFrame:
     kind = lambda c: lean.schema[c].dataType.simpleString()
     n = recs.agg(F.max("file_no")).first()[0]
     packed = lean.mapInArrow(run, f"file_no int, page_id {kind('page_id')}, url {kind('url')}, digest string, member binary")
-    return packed.repartition((n or 0) + 1, "file_no").checkpoint()
+    return packed.repartition((n or 0) + 1, "file_no")
 
 
 def manifest(packed: DataFrame) -> DataFrame:
@@ -87,22 +87,25 @@ def manifest(packed: DataFrame) -> DataFrame:
     return lean.withColumns({"place": F.row_number().over(by) - 1, "start": start})
 
 
-def write(packed: DataFrame, path: str, flipped: Column | None = None) -> str:
-    """WARC files, one folder per file number, members in the manifest's order.
+def write(packed: DataFrame, path: str, replicas: dict[str, Column | None] | None = None) -> dict[str, str]:
+    """Replicas of WARC files in one pass, one folder per replica and file number, members in the manifest's order; their paths.
 
-    flipped: where it holds, a byte in the middle of the member is another one, as if the store had lost it.
+    replicas: name -> where a byte in the middle of the member is another one, as if that store had lost it.
     """
-    value = F.col("member")
-    if flipped is not None:
-        half = F.floor(F.octet_length("member") / 2).cast("int")
-        byte = F.substring("member", half, F.lit(1))
-        other = F.when(byte == F.lit(b"\x00"), F.lit(b"\x01")).otherwise(F.lit(b"\x00"))
-        rest = F.substring("member", half + 1, F.octet_length("member"))
-        value = F.when(flipped, F.concat(F.substring("member", F.lit(1), half - 1), other, rest)).otherwise(value)
-    rows = packed.withColumn("value", value.cast("string")).sortWithinPartitions("file_no", "page_id", "digest", "url")
-    sink = rows.select("file_no", "value").write.partitionBy("file_no").option("encoding", "ISO-8859-1")
+    replicas = replicas or {"one": None}
+    half = F.floor(F.octet_length("member") / 2).cast("int")
+    byte = F.substring("member", half, F.lit(1))
+    other = F.when(byte == F.lit(b"\x00"), F.lit(b"\x01")).otherwise(F.lit(b"\x00"))
+    flipped = F.concat(F.substring("member", F.lit(1), half - 1), other, F.substring("member", half + 1, F.octet_length("member")))
+    lost = F.lit(False)
+    for name, where in replicas.items():
+        lost = lost | ((F.col("replica") == name) & F.coalesce(where, F.lit(False))) if where is not None else lost
+    rows = packed.withColumn("replica", F.explode(F.array(*map(F.lit, replicas))))
+    rows = rows.withColumn("value", F.when(lost, flipped).otherwise(F.col("member")).cast("string"))
+    rows = rows.sortWithinPartitions("replica", "file_no", "page_id", "digest", "url")
+    sink = rows.select("replica", "file_no", "value").write.partitionBy("replica", "file_no").option("encoding", "ISO-8859-1")
     sink.option("lineSep", BETWEEN.decode("latin-1")).text(path)
-    return path
+    return {name: f"{path}/replica={name}" for name in replicas}
 
 
 def scanned(raw: bytes) -> Iterator[tuple[int, int, str]]:
@@ -247,10 +250,10 @@ def report(pages: DataFrame, every: int = 97) -> DataFrame:
     packed = members(records(pages))
     listed = manifest(packed).checkpoint()
     hit = F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0
-    paths = [write(packed, fresh_path(spark, "warc"), x) for x in (None, hit)]
-    one, two = (audit(listed, leaves(spark, x).checkpoint()) for x in paths)
-    for path in paths:  # all that is read of them is checkpointed
-        removed(spark, path)
+    path = fresh_path(spark, "warc")
+    paths = write(packed, path, {"one": None, "two": hit})
+    one, two = (audit(listed, leaves(spark, paths[x]).checkpoint()) for x in ("one", "two"))
+    removed(spark, path)  # all that is read of them is checkpointed
     whole = one.select("file_no", "place", F.col("status").isin("ok", "moved").alias("whole_elsewhere"))
     both = two.join(whole, ["file_no", "place"], "left")
     return both.select("page_id", "url", "file_no", "place", "start", "length", "digest", "status", "whole_elsewhere")

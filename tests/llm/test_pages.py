@@ -169,7 +169,7 @@ def test_damage_on_disk(spark, tmp_path, monkeypatch):
     rows = spark.range(400).selectExpr("id AS page_id", "concat('u', id) AS url", "repeat(sha2(string(id), 512), 4 + int(id % 9)) AS html")
     packed = warc.members(warc.records(rows))
     listed = warc.manifest(packed).checkpoint()
-    stored = warc.write(packed, str(tmp_path / "stored"))
+    stored = warc.write(packed, str(tmp_path / "stored"))["one"]
     path = shutil.copytree(stored, tmp_path / "replica", ignore=shutil.ignore_patterns(".*.crc")).as_posix()
     files, places = _stored(path), {}
     for r in listed.orderBy("file_no", "place").collect():
