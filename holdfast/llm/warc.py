@@ -60,7 +60,7 @@ def member(record: bytes) -> bytes:
 
 
 def members(recs: DataFrame) -> DataFrame:
-    """(file_no, page_id, url, digest, member) of records, all of a file in one partition."""
+    """(file_no, page_id, url, digest, member) of records, where they are: only `write` shuffles members."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -74,9 +74,7 @@ def members(recs: DataFrame) -> DataFrame:
 
     lean = recs.select("file_no", "page_id", "url", "record")
     kind = lambda c: lean.schema[c].dataType.simpleString()
-    n = recs.agg(F.max("file_no")).first()[0]
-    packed = lean.mapInArrow(run, f"file_no int, page_id {kind('page_id')}, url {kind('url')}, digest string, member binary")
-    return packed.repartition((n or 0) + 1, "file_no")
+    return lean.mapInArrow(run, f"file_no int, page_id {kind('page_id')}, url {kind('url')}, digest string, member binary")
 
 
 def manifest(packed: DataFrame) -> DataFrame:
@@ -87,11 +85,13 @@ def manifest(packed: DataFrame) -> DataFrame:
     return lean.withColumns({"place": F.row_number().over(by) - 1, "start": start})
 
 
-def write(packed: DataFrame, path: str, replicas: dict[str, Column | None] | None = None) -> dict[str, str]:
+def write(packed: DataFrame, path: str, replicas: dict[str, Column | None] | None = None, files: int | None = None) -> dict[str, str]:
     """Replicas of WARC files in one pass, one folder per replica and file number, members in the manifest's order; their paths.
 
-    replicas: name -> where a byte in the middle of the member is another one, as if that store had lost it.
+    replicas: name -> where a byte in the middle of the member is another one, as if that store had lost it. files: their
+    number, where it is known.
     """
+    n = files or (packed.agg(F.max("file_no")).first()[0] or 0) + 1
     replicas = replicas or {"one": None}
     half = F.floor(F.octet_length("member") / 2).cast("int")
     byte = F.substring("member", half, F.lit(1))
@@ -100,7 +100,7 @@ def write(packed: DataFrame, path: str, replicas: dict[str, Column | None] | Non
     lost = F.lit(False)
     for name, where in replicas.items():
         lost = lost | ((F.col("replica") == name) & F.coalesce(where, F.lit(False))) if where is not None else lost
-    rows = packed.withColumn("replica", F.explode(F.array(*map(F.lit, replicas))))
+    rows = packed.repartition(n, "file_no").withColumn("replica", F.explode(F.array(*map(F.lit, replicas))))
     rows = rows.withColumn("value", F.when(lost, flipped).otherwise(F.col("member")).cast("string"))
     rows = rows.sortWithinPartitions("replica", "file_no", "page_id", "digest", "url")
     sink = rows.select("replica", "file_no", "value").write.partitionBy("replica", "file_no").option("encoding", "ISO-8859-1")
@@ -251,7 +251,7 @@ def report(pages: DataFrame, every: int = 97) -> DataFrame:
     listed = manifest(packed).checkpoint()
     hit = F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0
     path = fresh_path(spark, "warc")
-    paths = write(packed, path, {"one": None, "two": hit})
+    paths = write(packed, path, {"one": None, "two": hit}, (listed.agg(F.max("file_no")).first()[0] or 0) + 1)
     one, two = (audit(listed, leaves(spark, paths[x]).checkpoint()) for x in ("one", "two"))
     removed(spark, path)  # all that is read of them is checkpointed
     whole = one.select("file_no", "place", F.col("status").isin("ok", "moved").alias("whole_elsewhere"))
