@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from holdfast.sources.storage import ensure_checkpoint_dir, fresh_path, removed
+from holdfast.sources.storage import ensure_checkpoint_dir, fresh_path, path_exists, removed
 
 FANOUT, FILE_BYTES, SEPARATOR = 16, 8 << 20, "\r\n\r\n"
 HEADER = b"\x1f\x8b\x08\0\0\0\0\0\0\xff"  # of a gzip member without time and name
@@ -131,6 +131,8 @@ def scanned(raw: bytes) -> Iterator[tuple[int, int, str]]:
 
 def leaves(spark, path: str) -> DataFrame:
     """(file_no, place, start, length, digest) of a replica. Files that the manifest's layout has no name for get negative numbers."""
+    if not path_exists(spark, path):  # a replica without files
+        return spark.createDataFrame([], "file_no int, place int, start bigint, length bigint, digest string")
     files = spark.read.format("binaryFile").options(recursiveFileLookup="true", ignoreCorruptFiles="true").load(path)
     told = F.regexp_extract("path", r"/file_no=(\d{1,9})/", 1)
     number = F.when(told != "", told.cast("int")).otherwise((-1 - F.pmod(F.xxhash64("path"), F.lit(1 << 30))).cast("int"))
