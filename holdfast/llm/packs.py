@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from holdfast.llm.text import total_bytes
 
 PACK_BYTES = 12 << 20
+#: Shuffle partitions at most: beyond, a partition holds several packs, which its task takes one after another.
+PARTITIONS = 1 << 15
 
 
 def dealt(docs: DataFrame, id_col: str, text_col: str, pack_bytes: int = PACK_BYTES, keep: bool = False) -> tuple[DataFrame, int]:
@@ -31,7 +33,12 @@ def dealt(docs: DataFrame, id_col: str, text_col: str, pack_bytes: int = PACK_BY
     lean = docs.select(F.col(f"`{id_col}`").alias("id"), raw.alias("raw"), *rest)
     n = max(1, ceil(total_bytes(lean, "raw") / pack_bytes))
     pack = F.pmod(F.xxhash64("id", "raw"), F.lit(n)).cast("int")
-    return lean.select(pack.alias("pack"), *lean.columns).repartition(n, "pack"), n
+    return lean.select(pack.alias("pack"), *lean.columns).repartition(partitions(n), "pack"), n
+
+
+def partitions(groups: int) -> int:
+    """Shuffle partitions for a number of packs or ranges."""
+    return min(groups, PARTITIONS)
 
 
 def by_range(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:

@@ -21,7 +21,7 @@ other's text; texts shorter than a window stay; matches never cross documents; t
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
+from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.packs import by_range, dealt, mix
+from holdfast.llm.packs import by_range, dealt, mix, partitions
 from holdfast.llm.suffixes import common_prefixes, suffix_array
 
 GRAM, PIECE, CHUNK, HOT = 16, 64, 1 << 18, 10_000
@@ -48,8 +48,11 @@ def smallest_hashes(b: np.ndarray, size: int) -> np.ndarray:
         k = (len(b) - o) // 8
         part = np.frombuffer(b.data, np.uint64, k, o)
         word[o::8] = part[: len(word[o::8])]
-    with np.errstate(over="ignore"):
-        h = mix(word[:-8] * np.uint64(0x9E3779B97F4A7C15) + mix(word[8:]))
+    # any function of a gram's bytes will do, as hashes only say where to look
+    h = word[:-8] * np.uint64(0x9E3779B97F4A7C15)
+    h += word[8:] * np.uint64(0xC2B2AE3D27D4EB4F)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
     step = 1
     while 2 * step <= span:
         h = np.minimum(h[:-step], h[step:])
@@ -100,7 +103,7 @@ class _Pack:
     def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct hashes, in how many documents of other identifiers each occurs (0: only one), and the place of each run's hash."""
         ids = np.array([d for d, _ in self.texts], np.int64)[self.text] if len(self.texts) else self.text
-        order = np.lexsort((ids, self.key))
+        order = np.argsort(self.key, kind="stable")  # runs stand in the order of their identifiers
         key, ids = self.key[order], ids[order]
         new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
         first = np.flatnonzero(new)
@@ -121,49 +124,67 @@ class _Pack:
 class _Pieces:
     """Repeated pieces of a pack.
 
-    at: text, start, windows and piece of each occurrence. sent: (shard, content) in order, with its smallest document in
-    owners. A piece is sent as it is, or window by window if its hash is very common; windows_of tells for each window
-    of each piece (piece k from first[k] on) what it was sent in (parts) and as which window of that (offsets).
+    at: text, start, windows and piece of each occurrence. A piece is sent as it is, or window by window if its hash is very
+    common. What is sent, ordered by shard: contents, buckets, lengths and the smallest document of each in owners. windows_of
+    tells for each window of each piece (piece k from first[k] on) what it was sent in (parts) and as which window of that
+    (offsets).
     """
 
     def __init__(self, pack: _Pack, state: np.ndarray, shards: int):
         size, texts = pack.size, pack.texts
         some = np.flatnonzero(state)
         text, start, windows = (x[some].astype(np.int32) for x in (pack.text, pack.start, pack.windows))
-        number: dict[tuple[bool, bytes], int] = {}
-        asked = zip((state[some] == 2).tolist(), text.tolist(), start.tolist(), (start + windows + size - 1).tolist(), strict=True)
-        piece = np.fromiter((number.setdefault((hot, texts[t][1][a:e]), len(number)) for hot, t, a, e in asked), np.int32, len(some))
+        number: dict[bytes, int] = {}  # the content decides the hash, and the hash how it is sent
+        told, setdefault = [raw for _, raw in texts], number.setdefault
+        asked = zip(text.tolist(), start.tolist(), (start + windows + (size - 1)).tolist(), strict=True)
+        piece = np.fromiter((setdefault(told[t][a:e], len(number)) for t, a, e in asked), np.int32, len(some))
         self.at = text, start, windows, piece
         ids = np.array([d for d, _ in texts], np.int64)
-        least, key = np.full(len(number), LAST), np.zeros(len(number), np.uint64)
-        np.minimum.at(least, piece, ids[text] if len(ids) else LAST)
-        key[piece] = pack.key[some]
-        owner: dict[tuple[int, bytes], int] = {}
-        shard = lambda h: ((h >> 32) * shards) >> 32
-        names = []
-        for (hot, content), d, h in zip(number, least.tolist(), key.tolist(), strict=True):
-            windows = range(len(content) - size + 1)
-            parts = [content[a : a + size] for a in windows] if hot else [content]
-            own = [(shard(xxhash.xxh64_intdigest(x) if hot else h), x) for x in parts]
-            for name in own:
-                owner[name] = min(d, owner.get(name, d))
-            names.append((len(windows), own))
-        self.sent = sorted(owner)
-        self.owners = np.array([owner[x] for x in self.sent], np.int64)
-        self.names = names
+        # texts stand in the order of their identifiers, so a piece's first occurrence has its smallest
+        _, once = np.unique(piece, return_index=True)
+        least = ids[text[once]] if len(once) else np.zeros(0, np.int64)
+        key, common = pack.key[some][once], state[some][once] == 2
+        self.count = windows[once].astype(np.int64)
+        self.common = np.flatnonzero(common)
+        contents = list(number)
+        owner: dict[bytes, int] = {}
+        place: dict[bytes, int] = {}
+        self.single: list[int] = []
+        for k in self.common.tolist():
+            content, d = contents[k], int(least[k])
+            for x in (content[i : i + size] for i in range(len(content) - size + 1)):
+                self.single.append(place.setdefault(x, len(place)))
+                owner[x] = min(d, owner.get(x, d))
+        whole = np.flatnonzero(~common)
+        key = np.concatenate([key[whole], np.fromiter(map(xxhash.xxh64_intdigest, owner), np.uint64, len(owner))])
+        bucket = (((key >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        self.place = np.empty(len(order), np.int32)
+        self.place[order] = np.arange(len(order))
+        every = [*(contents[k] for k in whole.tolist()), *owner]
+        self.contents, self.buckets = [every[k] for k in order.tolist()], bucket[order]
+        self.lengths = np.concatenate([self.count[whole] + (size - 1), np.full(len(owner), size)])[order]
+        self.owners = np.concatenate([least[whole], np.fromiter(owner.values(), np.int64, len(owner))])[order]
+
+    def by_shard(self) -> Iterator[tuple[int, slice]]:
+        shards, first = np.unique(self.buckets, return_index=True)
+        for b, i, j in zip(shards.tolist(), first.tolist(), np.append(first, len(self.buckets))[1:].tolist(), strict=True):
+            yield b, slice(i, j)
 
     @cached_property
     def windows_of(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """first, parts and offsets."""
-        place = {x: k for k, x in enumerate(self.sent)}
-        count = np.array([n for n, _ in self.names], np.int64)
-        own = np.array([len(own) for _, own in self.names], np.int64)
-        single = own == count  # sent window by window, or of one window
-        parts = np.fromiter((place[x] for _, own in self.names for x in own), np.int32, int(own.sum()))
-        first = np.cumsum(count) - count
-        within = np.arange(count.sum()) - np.repeat(first, count)
-        offsets = np.where(np.repeat(single, count), 0, within).astype(np.int32)
-        return first, np.repeat(parts, np.repeat(np.where(single, 1, count), own)), offsets
+        first = np.cumsum(self.count) - self.count
+        whole = np.ones(len(self.count), bool)
+        whole[self.common] = False
+        part = np.zeros(len(self.count), np.int32)
+        part[whole] = self.place[: int(whole.sum())]
+        parts = np.repeat(part, self.count)
+        offsets = (np.arange(len(parts)) - np.repeat(first, self.count)).astype(np.int32)
+        alone = np.repeat(~whole, self.count)
+        parts[alone] = self.place[int(whole.sum()) + np.array(self.single, np.int64)]
+        offsets[alone] = 0
+        return first, parts, offsets
 
 
 def _asked(right: pa.Table, kind: int) -> dict[int, bytes]:
@@ -219,16 +240,14 @@ def _judged(table: pa.Table) -> pa.Table:
 
 def _cut_out(ranges: int, shards: int, size: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows: dict[int, list] = defaultdict(lambda: [[], []])
+        rows = []
         if left.num_rows:
             p = _Pack(left, _copies(right), size)
             pieces = p.pieces(_repeated(p, right, ranges), shards)
-            for (bucket, content), owner in zip(pieces.sent, pieces.owners.tolist(), strict=True):
-                rows[bucket][0].append(content)
-                rows[bucket][1].append(owner)
             pack = left.column("pack")[0].as_py()
-        sized = lambda x: np.array([len(c) for c in x], np.uint16).tobytes()
-        return _table(SENT, [(b, pack, b"".join(c), sized(c), np.array(o, np.int64).tobytes()) for b, (c, o) in rows.items()])
+            for b, s in pieces.by_shard():
+                rows.append((b, pack, b"".join(pieces.contents[s]), pieces.lengths[s].astype(np.uint16).tobytes(), pieces.owners[s].tobytes()))
+        return _table(SENT, rows)
 
     return run
 
@@ -297,13 +316,11 @@ def _cleaned(ranges: int, shards: int, size: int, kind: pa.DataType, rest: pa.Da
         p = _Pack(left, _copies(right), size)
         pieces = p.pieces(_repeated(p, right, ranges), shards)
         told = _asked(right, 2)
-        windows = np.array([len(c) - size + 1 for _, c in pieces.sent], np.int64)
-        buckets = np.array([b for b, _ in pieces.sent], np.int64)
+        windows = pieces.lengths - (size - 1)
         bits = np.zeros(int(windows.sum()), bool)
         first = np.cumsum(windows) - windows
-        for b in np.unique(buckets).tolist():
-            i, j = np.searchsorted(buckets, [b, b + 1]).tolist()
-            a, e = first[i], first[j - 1] + windows[j - 1]
+        for b, s in pieces.by_shard():
+            a, e = first[s.start], first[s.stop - 1] + windows[s.stop - 1]
             bits[a:e] = np.unpackbits(np.frombuffer(told[b], np.uint8), count=int(e - a))
         start_of, parts, offsets = pieces.windows_of
         precedes, owner = bits[first[parts] + offsets] if len(parts) else bits, pieces.owners[parts]
@@ -318,9 +335,9 @@ def _cleaned(ranges: int, shards: int, size: int, kind: pa.DataType, rest: pa.Da
             window = start_of[piece[rows]] + step
             # the owner is another pack's document, or an earlier one of this pack
             gone = precedes[window] | (owner[window] < ids[text[rows]])
-            where = (base[text[rows]] + start[rows] + step)[gone]
-            np.add.at(edge, where, 1)
-            np.add.at(edge, where + size, -1)
+            where = (base[text[rows]] + start[rows] + step)[gone]  # each window once
+            edge[where] += 1
+            edge[where + size] -= 1
         cut = np.cumsum(edge) > 0
         out: dict[tuple[int, bytes], tuple] = {}
         for (d, raw), a, n in zip(p.texts, base.tolist(), length.tolist(), strict=True):
@@ -352,16 +369,20 @@ def _plan(docs: DataFrame, id_col: str, text_col: str, size: int, keep: bool) ->
     # never NULL, or else the join's filter for that would go below the shuffle of the texts and make it a second one
     print_ = F.coalesce(F.unhex(F.sha2("raw", 256)), F.lit(bytearray()))
     prints = texts.select("pack", F.coalesce("id", F.lit(LAST)).alias("id"), print_.alias("print"))
-    first = prints.groupBy("print").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
-    copies = prints.join(first, "print").filter("id > first").groupBy("pack").agg(F.collect_set(F.struct("id", "print")).alias("ids"))
+    # a text that many packs hold is one row per pack
+    held = prints.groupBy("pack", "print").agg(F.collect_set("id").alias("held"))
+    first = held.groupBy("print").agg(F.min(F.array_min("held")).alias("first"), F.max(F.array_max("held")).alias("last")).filter("first < last")
+    later = F.filter("held", lambda x: x > F.col("first"))
+    ids = F.transform(later, lambda x: F.struct(x.alias("id"), F.col("print").alias("print"))).alias("ids")
+    copies = held.join(first, "print").select("pack", ids).groupBy("pack").agg(F.flatten(F.collect_list("ids")).alias("ids"))
     none = lambda kind: [F.lit(kind).alias("kind"), F.lit(-1).alias("bucket")]
     copies = copies.select(F.col("pack").alias("pack"), *none(0), "ids", F.lit(None).cast("binary").alias("told"))
     by = lambda df: df.groupBy("pack")
     hashes = by(lean).cogroup(by(copies)).applyInArrow(_hashes(n, size), SENT_SQL)
-    known = hashes.repartition(n, "bucket").groupBy("bucket").applyInArrow(_judged, TOLD)
+    known = hashes.repartition(partitions(n), "bucket").groupBy("bucket").applyInArrow(_judged, TOLD)
     shards = 2 * n
     pieces = by(lean).cogroup(by(copies.unionByName(known))).applyInArrow(_cut_out(n, shards, size), SENT_SQL)
-    owners = pieces.repartition(shards, "bucket").groupBy("bucket").applyInArrow(_sorted_shard(size), TOLD)
+    owners = pieces.repartition(partitions(shards), "bucket").groupBy("bucket").applyInArrow(_sorted_shard(size), TOLD)
     kinds = texts.limit(0).select("id", *(["rest"] if keep else [])).toArrow().schema
     schema = "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     schema += f", rest {texts.schema['rest'].dataType.simpleString()}, kept string" if keep else ""

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.packs import by_range, dealt, lengthened, mix, shortened
+from holdfast.llm.packs import by_range, dealt, lengthened, mix, partitions, shortened
 
 START, END = b" start", b" end"  # no word has a space
 FOLDS, HELD_OUT = 7, 2
@@ -211,7 +211,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document."""
     texts, n = dealt(docs, id_col, text_col)
     keys = texts.groupBy("pack").applyInArrow(_sent(n), "bucket int, pack int, uni binary, uni_n binary, bi binary, bi_n binary")
-    replies = keys.repartition(n, "bucket").groupBy("bucket").applyInArrow(_added, REPLY).repartition(n, "pack")
+    replies = keys.repartition(partitions(n), "bucket").groupBy("bucket").applyInArrow(_added, REPLY).repartition(partitions(n), "pack")
     total = replies.groupBy().agg(F.struct(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t"), F.coalesce(F.sum("types"), F.lit(0)).alias("v")).alias("total"))
     told = replies.withColumn("total", total.scalar()).withColumns({"total_tokens": F.col("total.t"), "total_types": F.col("total.v"), "ranges": F.lit(n)}).drop("total", "tokens", "types")
     cells = texts.groupBy("pack").cogroup(told.groupBy("pack")).applyInArrow(_cells, "cell bigint, n bigint")
