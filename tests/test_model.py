@@ -138,6 +138,31 @@ def test_search_with_penalties(customers):
     assert len(tuned.averages) == 8 and min(tuned.averages) > 0.5 and tuned.metrics["roc_auc"] > 0.5
 
 
+def _made(spark, rows: int = 400):
+    """Customers of a schema of their own, behind a shuffle."""
+    out = [(f"c{i}", ("Month-to-month", "One year", "Two year")[i % 3], float(i % 60), float(20 + i % 80), int((i * 7) % 10 < (6 if i % 3 else 2)))
+           for i in range(rows)]
+    df = spark.createDataFrame(out, "id string, Contract string, tenure double, MonthlyCharges double, churned int")
+    return df.repartition(8, "id"), Roles(id="id", label="churned", tenure="tenure")
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_training_rows_carry_no_plan(spark):
+    """What a fit and the holdout read comes from the checkpoint folder: no cached plan, join or shuffle behind it."""
+    df, roles = _made(spark)
+    rows, held = training._train_and_holdout(df, roles, (), 0.2, 42)
+    assert rows.count() == 320 and held.count() == 80
+    for part in (rows, held):
+        assert "ExistingRDD" in _plan(part)
+        assert not any(step in _plan(part) for step in ("InMemory", "Join", "Exchange"))
+        assert "ShuffledRowRDD" not in part.rdd.toDebugString().decode()
+    told = training.train(df, roles, maxIter=1)
+    assert told.holdout.count() == 80 and "InMemory" not in _plan(told.holdout)
+
+
 def test_cross_validation(spark, customers):
     rows = training.cross_validate(customers, ROLES, NOT_FEATURES, folds=2, maxIter=1).collect()
     assert {r["metric"] for r in rows} == {"recall", "roc_auc", "avg_precision"}
