@@ -12,6 +12,7 @@ from holdfast.operators.segments import grouped_sets
 from holdfast.plans.presets import EXPORT_SHEETS, export_sheets, named_query
 from holdfast.functions.rules import with_segments
 from holdfast.sources import exports, storage, tables
+from holdfast.sources.accounts import accounts
 
 PACKAGE = Path(__file__).resolve().parents[1] / "holdfast"
 
@@ -201,3 +202,22 @@ def test_no_rows_through_the_driver():
         assert not re.search(r"toPandas|toLocalIterator|localCheckpoint|crossJoin|\.rdd\b", text), name
         found = len(re.findall(r"\.(?:collect|first|take|head)\(\)|\.take\(", text))
         assert found == READS.get(name, 0), (name, found)
+
+
+def test_accounts_send_no_growing_table_to_the_driver(spark, tmp_path):
+    """Orders, customers and line items grow with the data: only nations and regions are broadcast."""
+    made = {
+        "orders": "SELECT id AS o_orderkey, id % 7 AS o_custkey, 100.0D * id AS o_totalprice, "
+                  "TIMESTAMP_NTZ '2000-01-01 00:00:00' AS o_orderdate, '3-MEDIUM' AS o_orderpriority FROM range(40)",
+        "customer": "SELECT id AS c_custkey, CAST(id % 3 AS INT) AS c_nationkey, 1.0D * id AS c_acctbal, 'AUTO' AS c_mktsegment FROM range(6)",
+        "nation": "SELECT CAST(id AS INT) AS n_nationkey, CAST(id % 2 AS INT) AS n_regionkey FROM range(3)",
+        "region": "SELECT CAST(id AS INT) AS r_regionkey, 'r' || id AS r_name FROM range(2)",
+        "lineitem": "SELECT id % 30 AS l_orderkey, 'R' AS l_returnflag, 'F' AS l_linestatus FROM range(90)",
+    }
+    for name, sql in made.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    df = accounts(spark, str(tmp_path))
+    assert df.count() == sum(i % 7 < 6 for i in range(40))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    shared = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert len(shared) == 2 and not any("custkey" in line or "orderkey" in line for line in shared)
