@@ -221,3 +221,15 @@ def test_accounts_send_no_growing_table_to_the_driver(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     shared = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
     assert len(shared) == 2 and not any("custkey" in line or "orderkey" in line for line in shared)
+
+
+def test_kept_rows_carry_no_plan(spark):
+    """Folds are read from the checkpoint folder: the partitions and rows of the table, nothing of how it was made, no cache left."""
+    df = spark.range(1000).repartition(7, "id").groupBy((F.col("id") % 10).alias("k")).count()
+    partitions, rows = df.persist().rdd.getNumPartitions(), sorted(df.collect())
+    df.unpersist()
+    kept = storage.kept(df)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(kept.collect()) == rows and kept.rdd.getNumPartitions() == partitions
+    assert "ExistingRDD" in plan and "InMemory" not in plan and "Exchange" not in plan
+    assert not df.storageLevel.useMemory
