@@ -233,6 +233,15 @@ def test_drivers(explained):
     assert all(values[r["feature"]] == r["phi"] for r in five)
 
 
+def test_attribution_runs_once_a_row(explained):
+    """No filter that runs the function a second time, and no rows that Python must first hand to Spark."""
+    ex, frame = explained
+    told = [ex.global_drivers(frame), ex.global_drivers(frame, 5), ex.values(frame, "account_id"), ex.customer_drivers(frame, "account_id"),
+            ex.values(frame, "account_id", by_column=True)]
+    for df in told:
+        assert _plan(df).count("ArrowEvalPython") == 1 and "ExistingRDD" not in _plan(df)
+
+
 def test_column_view_sums_the_slots(explained):
     ex, frame = explained
     one = frame.where("account_id = '7'")
