@@ -242,6 +242,36 @@ def test_attribution_runs_once_a_row(explained):
         assert _plan(df).count("ArrowEvalPython") == 1 and "ExistingRDD" not in _plan(df)
 
 
+@pytest.mark.parametrize("by_column", [False, True])
+@pytest.mark.parametrize("k", [1, 5, 60])
+def test_drivers_of_every_customer(explained, k, by_column):
+    """Ranked in Arrow batches, no comparison at a time; equal ones, zeros above all, by name; keys may repeat or be missing."""
+    ex, frame = explained
+    some = frame.where("account_id < '2'").withColumn("id", F.when(F.col("tenure") % 5 == 0, "twice").when(F.col("tenure") % 5 > 1, F.col("account_id")))
+    told = ex.customer_drivers(some, "account_id", k, by_column)
+    assert "sort" not in _plan(told.select("account_id", "feature")).split("ArrowEvalPython")[0].lower()
+    values, got = {}, {}
+    for r in ex.values(some, "account_id", by_column).collect():
+        values.setdefault(r["account_id"], {})[r["feature"]] = r["phi"]
+    for r in told.collect():
+        got.setdefault(r["account_id"], []).append((r["rank"], r["feature"], r["phi"]))
+    assert len(got) == len(values) > 50
+    for account, v in values.items():
+        ranked = sorted(v, key=lambda f: (-abs(v[f]), f))[:k]
+        full = {f for _, f, _ in got[account]}
+        assert full <= set(v) and len(full) == min(k, len(v))
+        assert sorted(got[account]) == [(i + 1, f, v[f]) for i, f in enumerate(ranked)]
+    keys = ex.customer_drivers(some, "id", k, by_column).groupBy("id").count()
+    rows = some.groupBy("id").agg((F.count(F.lit(1)) * len(full)).alias("want"))
+    assert keys.join(rows, keys["id"].eqNullSafe(rows["id"]), "full").where("NOT count <=> want").count() == 0
+
+
+def test_check_of_drivers_moves_no_ranked_row_again(spark, small):
+    """The account deals both sides of the check, so the ranked rows stay where their ranking put them."""
+    plan = _plan(catalog.queries()["customer_drivers_check"](spark, small))
+    assert "rank" not in "".join(line for line in plan.splitlines() if "hashpartitioning" in line)
+
+
 def test_column_view_sums_the_slots(explained):
     ex, frame = explained
     one = frame.where("account_id = '7'")
