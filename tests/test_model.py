@@ -266,6 +266,13 @@ def test_drivers_of_every_customer(explained, k, by_column):
     assert keys.join(rows, keys["id"].eqNullSafe(rows["id"]), "full").where("NOT count <=> want").count() == 0
 
 
+@pytest.mark.parametrize("name", ["global_drivers", "shap_points", "shap_points_check"])
+def test_explaining_broadcasts_nothing_that_grows(spark, small, name):
+    """Customers, orders and attributions never go through the driver; nations and regions may."""
+    shared = [line for line in _plan(catalog.queries()[name](spark, small)).splitlines() if "BroadcastHashJoin" in line]
+    assert shared and all("[c_nationkey" in line or "[n_regionkey" in line for line in shared)
+
+
 def test_check_of_drivers_moves_no_ranked_row_again(spark, small):
     """The account deals both sides of the check, so the ranked rows stay where their ranking put them."""
     plan = _plan(catalog.queries()["customer_drivers_check"](spark, small))
