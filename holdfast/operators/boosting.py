@@ -447,7 +447,7 @@ def _split(splits: _Splits, tree: Tree, h: np.ndarray, number: int, s: Settings,
     fits = (counts >= max(s.least, 1)) & (n - counts >= max(s.least, 1)) & (w > 0) & (weight - w > 0)
     size = splits.columns.size
     if s.features < size:
-        drawn = np.random.default_rng([s.seed, number, level, 1]).random((nodes, size))
+        drawn = np.random.default_rng([s.seed, number, level]).random((nodes, size))
         chosen = np.zeros((nodes, size), bool)
         np.put_along_axis(chosen, np.argpartition(drawn, s.features - 1, axis=1)[:, :s.features], True, axis=1)
         fits &= chosen[:, splits.slot]
